@@ -10,6 +10,7 @@ from __future__ import annotations
 import contextlib
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,12 +36,10 @@ class Cuts:
     def put(self, tag: str, df: DataFrame) -> DataFrame:
         """Write ``df`` and return the table read back; shuffles behind it may go."""
         path = f"{self.root}/{tag}"
+        self.release()
         df.write.option("compression", "zstd").parquet(path)
         self.paths[tag] = path
-        schema = df.schema
-        del df
-        self.release()
-        return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *tags: str) -> None:
         """Delete tables that no later plan reads."""
@@ -52,6 +51,7 @@ class Cuts:
                 path.getFileSystem(conf).delete(path, True)
 
     def release(self) -> None:
-        """Let Spark's cleaner delete shuffle files that nothing refers to any more."""
+        """Let Spark's cleaner delete the shuffle files of phases whose tables exist."""
         gc.collect()
         self.spark._jvm.System.gc()
+        time.sleep(0.2)

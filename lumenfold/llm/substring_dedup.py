@@ -12,7 +12,9 @@ dies; only windows repeated at one length are extended to twice that length.  Th
 representatives of neighbouring windows mostly coincide, so the first level moves
 one row for about twenty words instead of one for each.  At the full length every
 survivor is keyed by a 128-bit hash and compared with the smallest document id
-that holds it.  The ladder ends early when no candidate survives.
+that holds it.  The ladder ends early when no candidate survives.  Whole-text copies
+lose all their windows to the smallest id of their group, so they are set aside
+before the levels.
 
 Scale: a level is a partial aggregation by hash (a hot hash combines before the
 shuffle) and an equi-join that AQE may split; no group is ever collected, apart
@@ -143,20 +145,30 @@ def _windows(window: int, previous: int) -> Callable[[Iterator[pa.RecordBatch]],
     return run
 
 
-def survivors(rows: DataFrame) -> DataFrame:
-    """(_ord, _tkey, _alive): each document's keys that other documents have too."""
-    shared = rows.groupBy("_key").agg(F.min("_ord").alias("_lo"), F.max("_ord").alias("_hi")).where("_lo < _hi").select("_key")
-    return rows.join(shared, "_key").groupBy("_ord", "_tkey").agg(F.collect_set("_key").alias("_alive"))
+def exact_copies(docs: DataFrame) -> DataFrame:
+    """(_ord, _tkey) of documents whose whole text also has a smaller id."""
+    texts = docs.select("_ord", "_tkey", F.xxhash64(F.lit(1), "_text").alias("_second"))
+    groups = texts.groupBy("_tkey", "_second").agg(F.min("_ord").alias("_lo"), F.max("_ord").alias("_hi")).where("_lo < _hi").drop("_hi")
+    return texts.join(groups, ["_tkey", "_second"]).where("_ord > _lo").select("_ord", "_tkey").distinct()
+
+
+def survivors(rows: DataFrame, copies: DataFrame) -> DataFrame:
+    """(_ord, _tkey, _alive): the keys that other texts have too, of each document but copies."""
+    shared = rows.groupBy("_key").agg(F.min("_tkey").alias("_lo"), F.max("_tkey").alias("_hi")).where("_lo < _hi").select("_key")
+    lists = rows.join(shared, "_key").groupBy("_ord", "_tkey").agg(F.collect_set("_key").alias("_alive"))
+    return lists.join(copies, ["_ord", "_tkey"], "left_anti")
 
 
 def _removal(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: dict[str, list] = {"n_words": [], "n_removed": [], "removed": [], "text": []}
-            for text, starts in zip(batch.column("_text"), batch.column("_starts"), strict=True):
+            for text, starts, copy in zip(batch.column("_text"), batch.column("_starts"), batch.column("_copy"), strict=True):
                 words = text.as_buffer().to_pybytes().split()
                 cover = np.zeros(len(words) + 1, dtype=np.int64)
-                if starts.is_valid and len(words):
+                if copy.is_valid and len(words) >= window:
+                    cover[[0, -1]] = 1, -1
+                elif starts.is_valid:
                     s = starts.values.to_numpy(zero_copy_only=False)
                     np.add.at(cover, s, 1)
                     np.add.at(cover, s + window, -1)
@@ -188,11 +200,12 @@ def substring_dedup(documents: DataFrame, window: int = 50, id_col: str = "doc_i
     cuts = Cuts(documents.sparkSession, "substring")
     docs = keyed(documents, id_col, text_col)
     levels = ladder(window) or [window]
+    copies = cuts.put("copies", exact_copies(docs))
     alive, previous = None, None
     for k in levels:
         source = docs if alive is None else docs.join(alive, ["_ord", "_tkey"])
         rows = cuts.put(f"level{k}", source.mapInArrow(_representatives(k, window, previous), "_key long, _ord long, _tkey long"))
-        alive, last = cuts.put(f"alive{k}", survivors(rows)), previous
+        alive, last = cuts.put(f"alive{k}", survivors(rows, copies)), previous
         cuts.drop(f"level{k}", *([f"alive{last}"] if last else []))
         previous = k
         if alive.isEmpty():
@@ -204,13 +217,14 @@ def substring_dedup(documents: DataFrame, window: int = 50, id_col: str = "doc_i
     cuts.drop(f"alive{previous}")
     earliest = found.groupBy("_h1", "_h2").agg(F.min("_ord").alias("_lo"), F.max("_ord").alias("_hi")).where("_lo < _hi").drop("_hi")
     later = found.join(earliest, ["_h1", "_h2"]).where("_ord > _lo")
-    starts = cuts.put("starts", later.groupBy("_ord", "_tkey").agg(F.collect_set("_pos").alias("_starts")))
-    cuts.drop("windows")
+    starts = later.groupBy("_ord", "_tkey").agg(F.collect_set("_pos").alias("_starts"))
+    gone = cuts.put("gone", starts.unionByName(copies.withColumn("_copy", F.lit(True)), allowMissingColumns=True))
+    cuts.drop("windows", "copies")
     kind = documents.schema[id_col].dataType.simpleString()
     texts = keyed(documents, id_col, text_col, F.col(id_col).alias("_id"))
     return (
-        texts.join(starts, ["_ord", "_tkey"], "left")
-        .select("_id", "_text", "_starts")
+        texts.join(gone, ["_ord", "_tkey"], "left")
+        .select("_id", "_text", "_starts", "_copy")
         .mapInArrow(_removal(window), f"_id {kind}, n_words long, n_removed long, removed array<struct<start:long,length:long>>, text string")
         .withColumnRenamed("_id", id_col)
     )
