@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import find_contamination, n_hit
 from .substring_dedup import substring_dedup
+from .suffix_dedup import suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,13 +46,61 @@ FROM d LEFT JOIN kept USING (doc_id)
 """
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit().alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
+OP6_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS k
+  FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS k
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)
+), m AS (
+  SELECT dw.doc_id, dw.n, dw.i, bw.item_id FROM dw JOIN bw ON dw.k = bw.k AND dw.n = bw.n
+), hit AS (
+  SELECT doc_id, count(DISTINCT p) AS c FROM (SELECT doc_id, i + unnest(range(n)) AS p FROM m) GROUP BY doc_id
+), it AS (
+  SELECT doc_id, count(*) AS c, string_agg(s, ',' ORDER BY s) AS l FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS s FROM m) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(hit.c, 0)::BIGINT AS n_hit, coalesce(it.c, 0)::BIGINT AS n_items,
+       sha256(coalesce(l, '')) AS items_sha256, coalesce(hit.c, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"), length=100).select(
+        "doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op6_decontamination": op6_decontamination,
+        "op8_suffix_dedup": op8_suffix_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_substring_dedup": OP1_SQL,
+        "op6_decontamination": OP6_SQL,
     }
