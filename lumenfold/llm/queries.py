@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import find_contamination, n_hit
+from .packing import pack
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 
@@ -18,6 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), window=50).select(
         "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")
@@ -46,6 +53,10 @@ FROM d LEFT JOIN kept USING (doc_id)
 """
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), capacity=2048, closing=0)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10)
     return found.select(
@@ -94,6 +105,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op4_best_fit_packing": op4_best_fit_packing,
         "op6_decontamination": op6_decontamination,
         "op8_suffix_dedup": op8_suffix_dedup,
     }
