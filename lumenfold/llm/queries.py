@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import find_contamination, n_hit
+from .langid import held_out, identify_language, learn_dictionaries
 from .packing import pack
+from .store import Cuts
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
+from .toxicity import fit, match_clauses, training_sample
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +60,16 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), capacity=2048, closing=0)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    seen = labels.where(~held_out("doc_id", 5, 0))
+    sample = Cuts(spark, "toxicity").put("sample", training_sample(documents, seen))
+    scored = match_clauses(documents.select("doc_id", "text"), fit(sample))
+    return scored.select(
+        "doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "insult", "targeted", "threat", "negated", "reported"
+    )
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10)
     return found.select(
@@ -96,6 +109,13 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    dictionaries = learn_dictionaries(documents.where(~held_out("doc_id", 4, 2)))
+    found = identify_language(documents, dictionaries)
+    return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), F.col("best").alias("lang_pred"), "score", "margin", (F.col("lang") == "und").alias("rejected"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"), length=100).select(
         "doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
@@ -106,8 +126,10 @@ def queries() -> dict[str, Query]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
         "op4_best_fit_packing": op4_best_fit_packing,
+        "op5_toxicity": op5_toxicity,
         "op6_decontamination": op6_decontamination,
         "op8_suffix_dedup": op8_suffix_dedup,
+        "op10_language_id": op10_language_id,
     }
 
 
