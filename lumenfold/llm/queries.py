@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .decontaminate import find_contamination, n_hit
 from .langid import held_out, identify_language, learn_dictionaries
 from .packing import pack
+from .quality import quality_verdicts
 from .store import Cuts
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
@@ -109,6 +110,49 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(table(spark, sf_dir, "documents"))
+
+
+#: The sketches hold up to 4096 values of a group exactly, as here.
+OP7_SQL = r"""
+WITH d AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda s: regexp_matches(s, '[^\x20\x09-\x0D]')) AS l FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)
+), rep AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (
+    SELECT doc_id, i + unnest(range(8)) AS p FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS c FROM win) WHERE c > 1
+  ) GROUP BY doc_id
+), m AS (
+  SELECT d.doc_id, lang, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words, len(l) AS lines
+  FROM d LEFT JOIN rep USING (doc_id)
+), v AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+         word_chars / nullif(n_words, 0)::DOUBLE AS a, n_symbols / nullif(word_chars, 0)::DOUBLE AS b, n_dup_lines / nullif(lines, 0)::DOUBLE AS c FROM m
+), s AS (
+  SELECT lang, source, count(*) AS n, list_sort(list(a)) AS a, list_sort(list(b)) AS b, list_sort(list(c)) AS c FROM v WHERE NOT base_failed GROUP BY lang, source
+), g AS (
+  SELECT lang, list_sort(list(a)) AS a, list_sort(list(b)) AS b, list_sort(list(c)) AS c FROM v WHERE NOT base_failed GROUP BY lang
+), u AS (
+  SELECT s.lang, s.source, CASE WHEN n >= 30 THEN s.a ELSE g.a END AS a, CASE WHEN n >= 30 THEN s.b ELSE g.b END AS b, CASE WHEN n >= 30 THEN s.c ELSE g.c END AS c
+  FROM s JOIN g ON s.lang IS NOT DISTINCT FROM g.lang
+), q AS (
+  SELECT lang, source, a[ceil(0.25 * len(a))::INT] AS a1, a[ceil(0.75 * len(a))::INT] AS a3, b[ceil(0.25 * len(b))::INT] AS b1,
+         b[ceil(0.75 * len(b))::INT] AS b3, c[ceil(0.25 * len(c))::INT] AS c1, c[ceil(0.75 * len(c))::INT] AS c3 FROM u
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(a >= a1 - (3.0::DOUBLE * (a3 - a1) + 1.0::DOUBLE) AND a <= a3 + (3.0::DOUBLE * (a3 - a1) + 1.0::DOUBLE)
+         AND b >= b1 - (3.0::DOUBLE * (b3 - b1) + 0.02::DOUBLE) AND b <= b3 + (3.0::DOUBLE * (b3 - b1) + 0.02::DOUBLE)
+         AND c >= c1 - (3.0::DOUBLE * (c3 - c1) + 0.2::DOUBLE) AND c <= c3 + (3.0::DOUBLE * (c3 - c1) + 0.2::DOUBLE), false) AS kept
+FROM v LEFT JOIN q ON v.lang IS NOT DISTINCT FROM q.lang AND v.source IS NOT DISTINCT FROM q.source
+"""
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     dictionaries = learn_dictionaries(documents.where(~held_out("doc_id", 4, 2)))
@@ -128,6 +172,7 @@ def queries() -> dict[str, Query]:
         "op4_best_fit_packing": op4_best_fit_packing,
         "op5_toxicity": op5_toxicity,
         "op6_decontamination": op6_decontamination,
+        "op7_quality_rules": op7_quality_rules,
         "op8_suffix_dedup": op8_suffix_dedup,
         "op10_language_id": op10_language_id,
     }
@@ -137,4 +182,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_substring_dedup": OP1_SQL,
         "op6_decontamination": OP6_SQL,
+        "op7_quality_rules": OP7_SQL,
     }
