@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from .decontaminate import find_contamination, n_hit
 from .langid import held_out, identify_language, learn_dictionaries
+from .line_templates import dedup_lines
 from .packing import pack
 from .quality import quality_verdicts
 from .store import Cuts
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 from .toxicity import fit, match_clauses, training_sample
+from .url_filter import Rules, fit_url_model, judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +59,21 @@ FROM d LEFT JOIN kept USING (doc_id)
 """
 
 
+#: The URL rules.
+URL_RULES = {
+    "com/": "allow",
+    "example.com/en/": "block",
+    "www.example.com/en/": "allow",
+    "net/es/": "block",
+    "net/fr/": "block",
+}
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, rules = table(spark, sf_dir, "pages"), Rules(URL_RULES)
+    return judge_urls(pages, rules, fit_url_model(pages, rules))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), capacity=2048, closing=0)
 
@@ -153,6 +170,46 @@ FROM v LEFT JOIN q ON v.lang IS NOT DISTINCT FROM q.lang AND v.source IS NOT DIS
 """
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
+OP9_SQL = r"""
+WITH raw AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+l0 AS (SELECT doc_id, md5(text) AS tkey, unnest(ls) AS s, generate_subscripts(ls, 1) AS pos FROM raw),
+l1 AS (
+  SELECT doc_id, tkey, pos, s,
+         regexp_replace(trim(regexp_replace(s, '[\x20\x09-\x0D]+', ' ', 'g'), ' '), '[^ 0-9]*[0-9][^ ]*', '<*>', 'g') AS line FROM l0
+), l AS (SELECT *, md5(line) AS id, string_split(line, ' ') AS w FROM l1 WHERE line <> ''),
+two AS (SELECT doc_id, list_sort(list(DISTINCT id)) AS ids FROM l GROUP BY doc_id),
+n AS (
+  SELECT l.*, CASE WHEN ids[1] <> id THEN ids[1] ELSE coalesce(ids[2], id) END AS sig, len(w) || '|' || array_to_string(w[1:3], ' ') AS leaf
+  FROM l JOIN two USING (doc_id)
+), leaves AS (SELECT leaf FROM n GROUP BY leaf HAVING count(*) >= 10 AND min(id) < max(id)),
+forms AS (SELECT leaf, id, w, count(*) AS c FROM n JOIN leaves USING (leaf) GROUP BY leaf, id, w),
+votes AS (SELECT leaf, p, x, sum(c) AS v FROM (SELECT leaf, c, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM forms) GROUP BY leaf, p, x),
+top AS (
+  SELECT leaf, p, CASE WHEN 2 * v >= total THEN x ELSE '<*>' END AS x
+  FROM (SELECT *, sum(v) OVER (PARTITION BY leaf, p) AS total, row_number() OVER (PARTITION BY leaf, p ORDER BY v DESC, x DESC) AS r FROM votes) WHERE r = 1
+), cons AS (SELECT leaf, list(x ORDER BY p) AS k FROM top GROUP BY leaf),
+temp AS (
+  SELECT id, md5(array_to_string(k, ' ')) AS t FROM forms JOIN cons USING (leaf)
+  WHERE len(list_filter(range(1, len(w) + 1), lambda i: w[i] = k[i] AND w[i] <> '<*>')) >= 0.6 * len(k)
+), known AS (SELECT doc_id, tkey, pos, sig, coalesce(t, n.id) AS t FROM n LEFT JOIN temp ON n.id = temp.id),
+often AS (
+  SELECT t FROM (SELECT t, sig, count(DISTINCT tkey) AS texts FROM known GROUP BY t, sig) GROUP BY t HAVING count(*) >= 10 AND 2 * count(*) >= sum(texts)
+), gone AS (SELECT DISTINCT doc_id, pos FROM known JOIN often USING (t)),
+kept AS (
+  SELECT l0.doc_id, string_agg(s, chr(10) ORDER BY l0.pos) AS text FROM l0 ANTI JOIN gone ON l0.doc_id = gone.doc_id AND l0.pos = gone.pos GROUP BY l0.doc_id
+), lost AS (SELECT doc_id, count(*) AS c FROM gone GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0)::BIGINT AS n_lines, coalesce(lost.c, 0)::BIGINT AS n_dropped,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
+"""
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     dictionaries = learn_dictionaries(documents.where(~held_out("doc_id", 4, 2)))
@@ -169,11 +226,13 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op2_url_filter": op2_url_filter,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op5_toxicity": op5_toxicity,
         "op6_decontamination": op6_decontamination,
         "op7_quality_rules": op7_quality_rules,
         "op8_suffix_dedup": op8_suffix_dedup,
+        "op9_line_dedup": op9_line_dedup,
         "op10_language_id": op10_language_id,
     }
 
@@ -183,4 +242,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_substring_dedup": OP1_SQL,
         "op6_decontamination": OP6_SQL,
         "op7_quality_rules": OP7_SQL,
+        "op9_line_dedup": OP9_SQL,
     }
