@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .decontaminate import find_contamination, n_hit
 from .langid import held_out, identify_language, learn_dictionaries
 from .line_templates import dedup_lines
+from .order_minhash import near_duplicates
 from .packing import pack
 from .quality import quality_verdicts
 from .store import Cuts
@@ -74,6 +75,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, rules, fit_url_model(pages, rules))
 
 
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), capacity=2048, closing=0)
 
@@ -227,6 +232,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
         "op2_url_filter": op2_url_filter,
+        "op3_order_minhash": op3_order_minhash,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op5_toxicity": op5_toxicity,
         "op6_decontamination": op6_decontamination,
