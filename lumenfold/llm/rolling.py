@@ -17,7 +17,7 @@ U64 = np.uint64
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASES = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 #: Texts are worked on in runs of about this many bytes, which bounds the arrays.
-RUN_BYTES = 1 << 20
+RUN_BYTES = 1 << 19
 
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 

@@ -152,10 +152,14 @@ def exact_copies(docs: DataFrame) -> DataFrame:
     return texts.join(groups, ["_tkey", "_second"]).where("_ord > _lo").select("_ord", "_tkey").distinct()
 
 
-def survivors(rows: DataFrame, copies: DataFrame) -> DataFrame:
-    """(_ord, _tkey, _alive): the keys that other texts have too, of each document but copies."""
-    shared = rows.groupBy("_key").agg(F.min("_tkey").alias("_lo"), F.max("_tkey").alias("_hi")).where("_lo < _hi").select("_key")
-    lists = rows.join(shared, "_key").groupBy("_ord", "_tkey").agg(F.collect_set("_key").alias("_alive"))
+def survivors(cuts: Cuts, tag: str, rows: DataFrame, copies: DataFrame) -> DataFrame:
+    """(_ord, _tkey, _alive): the keys that other texts have too, of each document but copies.
+
+    The shared keys are a table of their own, so that the join reads two plain
+    exchanges, of which Spark can split a hot key's.
+    """
+    bounds = rows.groupBy("_key").agg(F.min("_tkey").alias("_lo"), F.max("_tkey").alias("_hi")).where("_lo < _hi")
+    lists = rows.join(cuts.put(tag, bounds.select("_key")), "_key").groupBy("_ord", "_tkey").agg(F.collect_set("_key").alias("_alive"))
     return lists.join(copies, ["_ord", "_tkey"], "left_anti")
 
 
@@ -205,8 +209,8 @@ def substring_dedup(documents: DataFrame, window: int = 50, id_col: str = "doc_i
     for k in levels:
         source = docs if alive is None else docs.join(alive, ["_ord", "_tkey"])
         rows = cuts.put(f"level{k}", source.mapInArrow(_representatives(k, window, previous), "_key long, _ord long, _tkey long"))
-        alive, last = cuts.put(f"alive{k}", survivors(rows, copies)), previous
-        cuts.drop(f"level{k}", *([f"alive{last}"] if last else []))
+        alive, last = cuts.put(f"alive{k}", survivors(cuts, f"shared{k}", rows, copies)), previous
+        cuts.drop(f"level{k}", f"shared{k}", *([f"alive{last}"] if last else []))
         previous = k
         if alive.isEmpty():
             break
@@ -216,10 +220,10 @@ def substring_dedup(documents: DataFrame, window: int = 50, id_col: str = "doc_i
     )
     cuts.drop(f"alive{previous}")
     earliest = found.groupBy("_h1", "_h2").agg(F.min("_ord").alias("_lo"), F.max("_ord").alias("_hi")).where("_lo < _hi").drop("_hi")
-    later = found.join(earliest, ["_h1", "_h2"]).where("_ord > _lo")
+    later = found.join(cuts.put("earliest", earliest), ["_h1", "_h2"]).where("_ord > _lo")
     starts = later.groupBy("_ord", "_tkey").agg(F.collect_set("_pos").alias("_starts"))
     gone = cuts.put("gone", starts.unionByName(copies.withColumn("_copy", F.lit(True)), allowMissingColumns=True))
-    cuts.drop("windows", "copies")
+    cuts.drop("windows", "earliest", "copies")
     kind = documents.schema[id_col].dataType.simpleString()
     texts = keyed(documents, id_col, text_col, F.col(id_col).alias("_id"))
     return (

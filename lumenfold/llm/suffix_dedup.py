@@ -9,8 +9,8 @@ earlier: in a document of smaller id, or further to the left in the same documen
   only anchors whose gram occurs more than once in the corpus.
 * **Copies.**  A text that a smaller id has, too, is removed whole at the start.
 * **Slices.**  An anchor's slice is the text of all windows that it represents.
-  Identical slices are combined by an aggregation first: all but the earliest are
-  removed whole.  What differs goes on.
+  Identical slices are combined first, within a document and then by an aggregation:
+  all but the earliest are removed whole.  What differs goes on.
 * **Enhanced suffix array.**  The anchored suffixes of a partition are sorted with
   their common-prefix lengths, and a stack scan of those yields the interval tree.
   An interval of depth ``r`` is a set of occurrences that share ``r`` bytes to the
@@ -41,6 +41,9 @@ from .store import Cuts
 from .substring_dedup import exact_copies, keyed, listed, of_documents, owner
 
 GRAM = 20
+#: Bytes of text worked on at once: arrays of this many 64-bit numbers stay near the caches.
+RUN = 1 << 18
+SLICE_COLUMNS = ["_key", "_s1", "_s2", "_ord", "_tkey", "_pos", "_left", "_slice"]
 SECOND_BASE = 0xC2B2AE3D27D4EB4F
 _SECOND_VALUES = mix(np.arange(1001, 1257, dtype=U64) * U64(0xD6E8FEB86659FD93))
 
@@ -65,7 +68,7 @@ def _anchor_keys(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ords, tkeys = of_documents(batch.column("_ord")), of_documents(batch.column("_tkey"))
-            for i, j, data, offsets in text_runs(batch.column("_text")):
+            for i, j, data, offsets in text_runs(batch.column("_text"), RUN):
                 if len(data) < length:
                     continue
                 grams, best, whole = _windows(data, offsets, length)
@@ -89,52 +92,75 @@ def _anchor_keys(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
 
 
 def _slices(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The slices of each document's surviving anchors."""
+    """The slices of each document's surviving anchors, and spans that a document's own earlier slices cover."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ords, tkeys = of_documents(batch.column("_ord")), of_documents(batch.column("_tkey"))
             values, bounds = listed(batch.column("_alive"))
-            for i, j, data, offsets in text_runs(batch.column("_text")):
+            for i, j, data, offsets in text_runs(batch.column("_text"), RUN):
                 if len(data) < length:
                     continue
                 grams, best, whole = _windows(data, offsets, length)
+                low = best.view(np.int64)
+                alive = []
                 for d in range(j - i):
                     a, b = int(offsets[d]), int(offsets[d + 1]) - length + 1
-                    if b <= a:
-                        continue
-                    alive = np.sort(values[bounds[i + d] : bounds[i + d + 1]])
-                    low = best[a:b].view(np.int64)
-                    spot = np.minimum(np.searchsorted(alive, low), len(alive) - 1)
-                    at = np.flatnonzero(alive[spot] == low)
-                    if not len(at):
-                        continue
-                    anchor = leftmost(grams[a : b + length - GRAM], best[a:b], at, length - GRAM + 1)
-                    new = np.ones(len(at), dtype=bool)
-                    new[1:] = (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1)
-                    head = np.flatnonzero(new)
-                    tail = np.append(head[1:], len(at)) - 1
-                    text = data[a : offsets[d + 1]]
-                    lo, hi, mid = at[head], at[tail] + length, anchor[head]
-                    p, q = _prefixes(text)
-                    n = len(head)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(low[at[head]]),
-                            pa.array(_range_hash(p, BYTE_BASE, lo, hi).view(np.int64)),
-                            pa.array(_range_hash(q, SECOND_BASE, lo, hi).view(np.int64)),
-                            pa.array(np.full(n, ords[i + d])),
-                            pa.array(np.full(n, tkeys[i + d])),
-                            pa.array(lo.astype(np.int32)),
-                            pa.array((mid - lo).astype(np.int32)),
-                            pa.array([text[x:y].tobytes() for x, y in zip(lo, hi, strict=True)], pa.binary()),
-                        ],
-                        ["_key", "_s1", "_s2", "_ord", "_tkey", "_pos", "_left", "_slice"],
-                    )
+                    if b > a:
+                        known = np.sort(values[bounds[i + d] : bounds[i + d + 1]])
+                        spot = np.minimum(np.searchsorted(known, low[a:b]), len(known) - 1)
+                        alive.append(a + np.flatnonzero(known[spot] == low[a:b]))
+                at = np.concatenate(alive) if alive else np.zeros(0, np.int64)
+                if not len(at):
+                    continue
+                anchor = leftmost(grams, np.where(whole, best, U64(0)), at, length - GRAM + 1)
+                new = np.ones(len(at), dtype=bool)
+                new[1:] = (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1)
+                head = np.flatnonzero(new)
+                tail = np.append(head[1:], len(at)) - 1
+                lo, hi, mid = at[head], at[tail] + length, anchor[head]
+                doc = np.searchsorted(offsets, lo, side="right") - 1
+                p, q = _prefixes(data)
+                s1 = _range_hash(p, BYTE_BASE, lo, hi).view(np.int64)
+                s2 = _range_hash(q, SECOND_BASE, lo, hi).view(np.int64)
+                order = np.lexsort((s2, s1, doc))  # stable: the leftmost of equal slices comes first
+                x, y = order[1:], order[:-1]
+                copy = np.zeros(len(lo), dtype=bool)
+                copy[x[(doc[x] == doc[y]) & (s1[x] == s1[y]) & (s2[x] == s2[y])]] = True
+                if copy.any():
+                    yield _own_copies(lo[copy], hi[copy], doc[copy], offsets, ords[i:j], tkeys[i:j])
+                k = np.flatnonzero(~copy)
+                lo, hi, mid, doc = lo[k], hi[k], mid[k], doc[k]
+                raw = data.tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(low[lo]),
+                        pa.array(s1[k]),
+                        pa.array(s2[k]),
+                        pa.array(ords[i:j][doc]),
+                        pa.array(tkeys[i:j][doc]),
+                        pa.array((lo - offsets[doc]).astype(np.int32)),
+                        pa.array((mid - lo).astype(np.int32)),
+                        pa.array([raw[x:y] for x, y in zip(lo.tolist(), hi.tolist(), strict=True)], pa.binary()),
+                    ],
+                    SLICE_COLUMNS,
+                )
 
     return run
 
 
+def _own_copies(lo: np.ndarray, hi: np.ndarray, doc: np.ndarray, offsets: np.ndarray, ords: np.ndarray, tkeys: np.ndarray) -> pa.RecordBatch:
+    """What slices cover that stand further left in their document, too: spans, with no slice and ``_left`` for the length."""
+    first = np.ones(len(lo), dtype=bool)
+    first[1:] = (lo[1:] > hi[:-1]) | (doc[1:] != doc[:-1])
+    head = np.flatnonzero(first)
+    end = hi[np.append(head[1:], len(lo)) - 1]
+    lo, doc = lo[head], doc[head]
+    none = pa.nulls(len(head), pa.int64())
+    place = [pa.array((lo - offsets[doc]).astype(np.int32)), pa.array((end - lo).astype(np.int32))]
+    return pa.RecordBatch.from_arrays([none, none, none, pa.array(ords[doc]), pa.array(tkeys[doc]), *place, pa.nulls(len(head), pa.binary())], SLICE_COLUMNS)
+
+
 def _prefixes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     p, _ = powers(SECOND_BASE, len(text) + 1)
     second = np.zeros(len(text) + 1, dtype=U64)
@@ -334,7 +360,7 @@ def _removal(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 SPANS = "_ord long, _tkey long, _start int, _end int"
 
 
-def suffix_dedup(documents: DataFrame, length: int = 100, group_limit: int = 1000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def suffix_dedup(documents: DataFrame, length: int = 100, group_limit: int = 50_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``documents``: id, n_bytes, n_removed, removed (byte spans) and the kept bytes.
 
     ``length`` is at least ``GRAM``.  Kept bytes are binary, as a cut may fall inside
@@ -349,9 +375,9 @@ def suffix_dedup(documents: DataFrame, length: int = 100, group_limit: int = 100
     shared = (
         keys.groupBy("_key").agg(F.min("_tkey").alias("_lo"), F.max("_tkey").alias("_hi"), F.max("_many").alias("_in")).where("_lo < _hi OR _in").select("_key")
     )
-    lists = keys.join(shared, "_key").groupBy("_ord", "_tkey").agg(F.collect_set("_key").alias("_alive"))
+    lists = keys.join(cuts.put("shared", shared), "_key").groupBy("_ord", "_tkey").agg(F.collect_set("_key").alias("_alive"))
     alive = cuts.put("alive", lists.join(copied, ["_ord", "_tkey"], "left_anti"))
-    cuts.drop("keys")
+    cuts.drop("keys", "shared")
     slices = cuts.put(
         "slices",
         docs.join(alive, ["_ord", "_tkey"]).mapInArrow(
@@ -360,10 +386,12 @@ def suffix_dedup(documents: DataFrame, length: int = 100, group_limit: int = 100
     )
     cuts.drop("alive")
     place = F.struct("_ord", "_pos")
+    own = slices.where("_slice IS NULL").select("_ord", "_tkey", F.col("_pos").alias("_start"), (F.col("_pos") + F.col("_left")).alias("_end"))
+    slices = slices.where("_slice IS NOT NULL")
     earliest = slices.groupBy("_s1", "_s2").agg(F.min(place).alias("_least"))
-    marked = slices.join(earliest, ["_s1", "_s2"]).withColumn("_copy", F.col("_least") < place)
+    marked = slices.join(cuts.put("earliest", earliest), ["_s1", "_s2"]).withColumn("_copy", F.col("_least") < place)
     marked = cuts.put("marked", marked.drop("_s1", "_s2", "_least"))
-    cuts.drop("slices")
+    cuts.drop("earliest")
     copies = marked.where("_copy").select("_ord", "_tkey", F.col("_pos").alias("_start"), (F.col("_pos") + F.length("_slice")).alias("_end"))
     sizes = marked.where("NOT _copy").groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     firsts = cuts.put("firsts", marked.where("NOT _copy").drop("_copy").join(sizes, "_key"))
@@ -375,18 +403,18 @@ def suffix_dedup(documents: DataFrame, length: int = 100, group_limit: int = 100
         .mapInArrow(_repeats(length), SPANS)
     )
     hot = firsts.where(F.col("_n") > group_limit)
-    spans = copies.unionByName(together)
+    spans = copies.unionByName(own).unionByName(together)
     if not hot.isEmpty():
         windows = cuts.put(
             "windows",
             hot.select("_ord", "_tkey", "_pos", "_slice").mapInArrow(_single_windows(length), "_h1 long, _h2 long, _ord long, _tkey long, _pos int"),
         )
         first = windows.groupBy("_h1", "_h2").agg(F.min(place).alias("_least"))
-        later = windows.join(first, ["_h1", "_h2"]).where(F.col("_least") < place)
+        later = windows.join(cuts.put("first", first), ["_h1", "_h2"]).where(F.col("_least") < place)
         spans = spans.unionByName(later.select("_ord", "_tkey", F.col("_pos").alias("_start"), (F.col("_pos") + length).alias("_end")))
     lost = spans.groupBy("_ord", "_tkey").agg(F.collect_list(F.struct("_start", "_end")).alias("_cuts"))
     found = cuts.put("spans", lost.unionByName(copied.withColumn("_whole", F.lit(True)), allowMissingColumns=True))
-    cuts.drop(*(t for t in ("copied", "marked", "firsts", "windows") if t in cuts.paths))
+    cuts.drop(*(t for t in ("copied", "slices", "marked", "firsts", "windows", "first") if t in cuts.paths))
     kind = documents.schema[id_col].dataType.simpleString()
     return (
         keyed(documents, id_col, text_col, F.col(id_col).alias("_id"))
