@@ -23,11 +23,14 @@ packed as often as they occur.
 
 from __future__ import annotations
 
+import json
 import math
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -40,14 +43,17 @@ from .store import Cuts
 from .substring_dedup import keyed
 
 #: Words whose ids a worker keeps; then it starts anew.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 1_000_000
+#: An ASCII letter and an ASCII sign or digit after it; an apostrophe may open a contraction.
+_AFTER_LETTER = re.compile(rb"([a-z])([!-&(-@\[-`{-~])")
 
 
 class WordEncoder:
     """Ids of whole texts, remembering those of each space-separated word.
 
-    For tokenizers that never join across white space, which ``splits_at_spaces``
-    says; the ids equal those of encoding the text as a whole.
+    For tokenizers that fold case and never join across white space or between a
+    letter and a sign, which ``splits_at_spaces`` says; the ids equal those of encoding
+    the text as a whole.  Texts that may hold a special token are encoded as a whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -56,6 +62,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = splits_at_spaces(self.tokenizer)
+        self.marker = b"<|"
         self.forget()
 
     def forget(self) -> None:
@@ -66,35 +73,49 @@ class WordEncoder:
         self.used = 0
 
     def learn(self, words: list[bytes]) -> None:
-        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        found = [x.ids for x in encode([w.decode() for w in words], add_special_tokens=False)]
-        n, size = len(self.memo), sum(map(len, found))
+        """Encode new words, joined by spaces, and tell their ids apart by where they start."""
+        texts = [w.decode() for w in words]
+        starts = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+        found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        ids = np.array(found.ids, dtype=np.uint32)
+        at = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)[:, 0]
+        sizes = np.bincount(np.searchsorted(starts, at, side="right") - 1, minlength=len(words)).astype(np.int32)
+        n = len(self.memo)
         while n + len(words) > len(self.lengths):
             self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-        while self.used + size > len(self.ids):
+        while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        sizes = np.fromiter(map(len, found), dtype=np.int32, count=len(found))
         self.lengths[n : n + len(words)] = sizes
         self.starts[n : n + len(words)] = self.used + np.cumsum(sizes) - sizes
-        self.ids[self.used : self.used + size] = [x for ids in found for x in ids]
-        self.used += size
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
         self.memo.update(zip(words, range(n, n + len(words)), strict=True))
 
+    def plain(self, texts: list[bytes]) -> list[np.ndarray]:
+        return [np.array(x.ids, dtype=np.uint32) for x in self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)]
+
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if not self.by_word:
-            return [np.array(x.ids, dtype=np.uint32) for x in self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)]
-        words = [t.split() for t in texts]
-        flat = [w for ws in words for w in ws]
-        at = list(map(self.memo.get, flat))
-        if None in at:
-            new = list(dict.fromkeys(w for w, k in zip(flat, at, strict=True) if k is None))
+            return self.plain(texts)
+        special = [x for x, t in enumerate(texts) if self.marker in t]
+        if special:
+            out = iter(self.encode([t for t in texts if self.marker not in t]))
+            whole = dict(zip(special, self.plain([texts[x] for x in special]), strict=True))
+            return [whole[x] if x in whole else next(out) for x in range(len(texts))]
+        # lower case and a space between a letter and what follows it spare the memo variants
+        words = [_AFTER_LETTER.sub(rb"\1 \2", t.lower()).split() for t in texts]
+        flat = list(chain.from_iterable(words))
+        index = np.fromiter(map(self.memo.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
+        missing = np.flatnonzero(index < 0)
+        if len(missing):
+            unknown = [flat[x] for x in missing]
+            new = list(dict.fromkeys(unknown))
             if len(self.memo) + len(new) > MEMO_WORDS:
                 self.forget()
-                new = list(dict.fromkeys(flat))
+                missing, unknown, new = np.arange(len(flat)), flat, list(dict.fromkeys(flat))
             self.learn(new)
-            at = list(map(self.memo.__getitem__, flat))
-        index = np.array(at, dtype=np.int64)
+            index[missing] = np.fromiter(map(self.memo.__getitem__, unknown), dtype=np.int64, count=len(unknown))
         sizes = self.lengths[index].astype(np.int64)
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
@@ -104,16 +125,17 @@ class WordEncoder:
 
 
 def splits_at_spaces(tokenizer: object) -> bool:
-    """Whether spaces vanish in a pre-tokenizer that removes what its pattern leaves out, with white space excluded."""
-    import json
+    """Whether case is folded and only runs of letters, single digits and runs of signs are kept, as contractions or alone.
 
+    Anything else is encoded text by text.
+    """
     spec = json.loads(tokenizer.to_str())
-    steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [spec.get("pre_tokenizer") or {}])
-    first = steps[0] if steps else {}
-    pattern = (first.get("pattern") or {}).get("Regex", "")
-    alternatives = pattern.split("|")
-    safe = all(not a.startswith(("\\s", " ", "[\\s", ".")) and (not a.startswith("[^") or "\\s" in a) for a in alternatives)
-    return first.get("type") == "Split" and first.get("behavior") == "Removed" and bool(first.get("invert")) and safe
+    steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    folds = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+    kept = [a for a in (steps[0].get("pattern") or {}).get("Regex", "").split("|") if not a.startswith("'")]
+    removes = steps[0].get("type") == "Split" and steps[0].get("behavior") == "Removed" and steps[0].get("invert") is True
+    marks = all(t["content"].startswith("<|") for t in spec.get("added_tokens", []))
+    return removes and marks and "Lowercase" in folds and kept == [r"[\p{L}]+", r"[\p{N}]", r"[^\s\p{L}\p{N}]+"]
 
 
 @lru_cache(maxsize=2)
