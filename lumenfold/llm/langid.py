@@ -44,16 +44,19 @@ def learn_dictionaries(
     The bounds keep the driver's sample under ``max_languages * dictionary_bytes``.
     """
     rows = labelled.select(F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).alias("_text")).where("_lang IS NOT NULL AND length(_text) > 0")
-    chosen = Window.partitionBy("_lang").orderBy(F.xxhash64("_text"), "_text")
+    counts = labelled.groupBy(F.col(lang_col).cast("string").alias("_lang")).agg(F.count(F.lit(1)).alias("_n")).where("_lang IS NOT NULL")
+    counts = counts.orderBy(F.desc("_n"), "_lang").limit(max_languages)
     share = max(1, dictionary_bytes // sample_docs)
     # a document gives a stretch from its middle, so that one long text cannot fill the dictionary
     stretch = F.substring("_text", 1 + F.greatest(F.lit(0), (F.length("_text") - 4 * share) / 2).cast("int"), F.lit(4 * share))
-    sample = (
-        rows.withColumn("_rank", F.row_number().over(chosen)).where(F.col("_rank") <= sample_docs).select("_lang", "_rank", stretch.alias("_part"))
-    )
-    counts = rows.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(max_languages)
+    # by hash, about four times as many documents as wanted are looked at; copies of a text count once
+    hashed = rows.withColumn("_h", F.xxhash64("_text")).join(F.broadcast(counts), "_lang")
+    near = hashed.where(F.pmod("_h", F.lit(1 << 30)) * F.col("_n") < (4 * sample_docs) * (1 << 30))
+    texts = near.groupBy("_lang", "_h").agg(F.min(stretch).alias("_part"))
+    chosen = Window.partitionBy("_lang").orderBy("_h")
+    sample = texts.withColumn("_rank", F.row_number().over(chosen)).where(F.col("_rank") <= sample_docs)
     parts: dict[str, list[bytes]] = {}
-    for lang, part in sample.join(F.broadcast(counts.select("_lang")), "_lang").orderBy("_lang", "_rank").select("_lang", "_part").collect():
+    for lang, part in sample.orderBy("_lang", "_rank").select("_lang", "_part").collect():
         parts.setdefault(lang, []).append(part.lower().encode())
     out = {}
     for lang, found in parts.items():

@@ -16,6 +16,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows are whole documents, so an Arrow batch of Spark's usual size takes much memory.
+ROWS_PER_BATCH = 1000
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; a local one only where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -37,7 +42,12 @@ class Cuts:
         """Write ``df`` and return the table read back; shuffles behind it may go."""
         path = f"{self.root}/{tag}"
         self.release()
-        df.write.option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(BATCH)
+        self.spark.conf.set(BATCH, str(min(ROWS_PER_BATCH, int(before))))
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.set(BATCH, before)
         self.paths[tag] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
