@@ -31,6 +31,7 @@ import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain, repeat
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -78,7 +79,7 @@ class WordEncoder:
         starts = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
         found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
         ids = np.array(found.ids, dtype=np.uint32)
-        at = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)[:, 0]
+        at = np.fromiter(map(itemgetter(0), found.offsets), dtype=np.int64, count=len(ids))
         sizes = np.bincount(np.searchsorted(starts, at, side="right") - 1, minlength=len(words)).astype(np.int32)
         n = len(self.memo)
         while n + len(words) > len(self.lengths):
