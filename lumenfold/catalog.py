@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from lumenfold.plans import clustering, evaluation, joins, raster, shaping, state, text, votes  # noqa: F401
+from lumenfold.plans.registry import QUERIES, SQL, Query
 
 FLAGSHIP = "a4_weighted_vote"
 
-Query = Callable[[SparkSession, str], DataFrame]
-
 
 def queries() -> dict[str, Query]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
