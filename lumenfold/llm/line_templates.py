@@ -34,6 +34,8 @@ from .store import Cuts
 from .substring_dedup import keyed
 
 VARIABLE = "<*>"
+#: Both sides of these joins grow with the corpus: one plan at every size, and no broadcast.
+MERGE = "merge"
 SPACE = "[\\x20\\x09-\\x0D]+"
 
 
@@ -61,13 +63,13 @@ def leaf_templates(cuts: Cuts, lines: DataFrame, similarity: float, least: int)
     """(_id, _template) of masked forms that take their leaf's consensus template."""
     leaves = lines.groupBy("_leaf").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_a"), F.max("_id").alias("_b"))
     open_leaves = cuts.put("leaves", leaves.where((F.col("_n") >= least) & (F.col("_a") < F.col("_b"))).select("_leaf"))
-    forms = cuts.put("forms", lines.join(open_leaves, "_leaf").groupBy("_leaf", "_id", "_line").agg(F.count(F.lit(1)).alias("_n")))
+    forms = cuts.put("forms", lines.join(open_leaves.hint(MERGE), "_leaf").groupBy("_leaf", "_id", "_line").agg(F.count(F.lit(1)).alias("_n")))
     places = forms.select("_leaf", "_n", F.posexplode(F.split("_line", " ")).alias("_p", "_w"))
     votes = places.groupBy("_leaf", "_p", "_w").agg(F.sum("_n").alias("_v"))
     top = votes.groupBy("_leaf", "_p").agg(F.max(F.struct("_v", "_w")).alias("_top"), F.sum("_v").alias("_all"))
     word = F.when(2 * F.col("_top._v") >= F.col("_all"), F.col("_top._w")).otherwise(F.lit(VARIABLE))
     consensus = top.groupBy("_leaf").agg(F.array_sort(F.collect_list(F.struct("_p", word.alias("_w")))).alias("_c"))
-    joined = forms.join(cuts.put("consensus", consensus.select("_leaf", F.col("_c._w").alias("_c"))), "_leaf")
+    joined = forms.join(cuts.put("consensus", consensus.select("_leaf", F.col("_c._w").alias("_c"))).hint(MERGE), "_leaf")
     own = F.split("_line", " ")
     same = F.size(F.filter(F.zip_with(own, "_c", lambda a, b: (a == b) & (a != VARIABLE)), lambda x: x))
     alike = joined.where(same >= similarity * F.size("_c"))
@@ -78,14 +80,14 @@ def recurring_lines(cuts: Cuts, docs: DataFrame, depth: int, similarity: float,
     """(_ord, _tkey, _drop): the line numbers that each document loses."""
     lines = cuts.put("lines", parsed_lines(docs, depth))
     templates = cuts.put("templates", leaf_templates(cuts, lines, similarity, least_documents))
-    known = lines.select("_ord", "_tkey", "_pos", "_id", "_sig").join(templates, "_id", "left")
+    known = lines.select("_ord", "_tkey", "_pos", "_id", "_sig").join(templates.hint(MERGE), "_id", "left")
     known = cuts.put("known", known.select("_ord", "_tkey", "_pos", "_sig", F.coalesce("_template", "_id").alias("_template")))
     cuts.drop("lines", "leaves", "forms", "consensus", "templates")
     texts = known.groupBy("_template", "_sig", "_tkey").agg(F.count(F.lit(1)).alias("_n"))
     sigs = texts.groupBy("_template", "_sig").agg(F.count(F.lit(1)).alias("_texts"))
     counts = sigs.groupBy("_template").agg(F.count(F.lit(1)).alias("_sigs"), F.sum("_texts").alias("_texts"))
     often = cuts.put("often", counts.where((F.col("_sigs") >= least_documents) & (2 * F.col("_sigs") >= F.col("_texts"))).select("_template"))
-    found = cuts.put("drops", known.join(often, "_template").groupBy("_ord", "_tkey").agg(F.array_sort(F.collect_set("_pos")).alias("_drop")))
+    found = cuts.put("drops", known.join(often.hint(MERGE), "_template").groupBy("_ord", "_tkey").agg(F.array_sort(F.collect_set("_pos")).alias("_drop")))
     cuts.drop("known", "often")
     return found
 
@@ -99,7 +101,7 @@ def dedup_lines(
     names = [f"_c{k}" for k in range(len(documents.columns))]
     rows = documents.toDF(*names)
     text, ident = names[documents.columns.index(text_col)], names[documents.columns.index(id_col)]
-    rows = keyed(rows, ident, text, *(F.col(c) for c in names)).drop("_text").join(drops, ["_ord", "_tkey"], "left")
+    rows = keyed(rows, ident, text, *(F.col(c) for c in names)).drop("_text").join(drops.hint(MERGE), ["_ord", "_tkey"], "left")
     lines = F.split(text, "\n")
     kept = F.filter(lines, lambda s, i: ~F.array_contains("_drop", i))
     left = F.when(F.col("_drop").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
