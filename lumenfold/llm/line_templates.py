@@ -2,7 +2,8 @@
 
 Everything here is DataFrame functions: no Python touches a row.
 
-* **Masking.**  A line's words that hold a digit are variable fields, ``<*>``.
+* **Masking.**  A line's words that hold a digit are variable fields, ``<*>``, if they
+  are at most half of its words; a row of numbers is no template.
 * **Tree.**  Lines descend by word count and their first ``depth`` masked words to a
   leaf.  A leaf's consensus template has, at each place, the word that at least half
   of the leaf's lines have there, and ``<*>`` elsewhere.  Lines that agree with it in
@@ -40,9 +41,11 @@ SPACE = "[\\x20\\x09-\\x0D]+"
 
 
 def masked(line: Column) -> Column:
-    """Words joined by one space, those with a digit as ``<*>``."""
+    """Words joined by one space, those with a digit as ``<*>`` unless they are most of the line."""
     flat = F.regexp_replace(F.regexp_replace(line, SPACE, " "), "^ | $", "")
-    return F.when(flat.rlike("[0-9]"), F.regexp_replace(flat, "[^ 0-9]*+[0-9][^ ]*+", VARIABLE)).otherwise(flat)
+    form = F.regexp_replace(flat, "[^ 0-9]*+[0-9][^ ]*+", VARIABLE)
+    few = 2 * F.regexp_count(form, F.lit("<\\*>")) <= F.size(F.split(form, " "))
+    return F.when(flat.rlike("[0-9]") & few, form).otherwise(flat)
 
 
 def parsed_lines(docs: DataFrame, depth: int) -> DataFrame:

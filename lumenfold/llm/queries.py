@@ -87,7 +87,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     seen = labels.where(~held_out("doc_id", 5, 0))
     sample = Cuts(spark, "toxicity").put("sample", training_sample(documents, seen))
-    scored = match_clauses(documents.select("doc_id", "text"), fit(sample))
+    scored = match_clauses(documents, fit(sample))
     return scored.select(
         "doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "insult", "targeted", "threat", "negated", "reported"
     )
@@ -184,9 +184,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP9_SQL = r"""
 WITH raw AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
 l0 AS (SELECT doc_id, md5(text) AS tkey, unnest(ls) AS s, generate_subscripts(ls, 1) AS pos FROM raw),
-l1 AS (
-  SELECT doc_id, tkey, pos, s,
-         regexp_replace(trim(regexp_replace(s, '[\x20\x09-\x0D]+', ' ', 'g'), ' '), '[^ 0-9]*[0-9][^ ]*', '<*>', 'g') AS line FROM l0
+f AS (
+  SELECT *, regexp_replace(flat, '[^ 0-9]*[0-9][^ ]*', '<*>', 'g') AS form
+  FROM (SELECT *, trim(regexp_replace(s, '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS flat FROM l0)
+), l1 AS (
+  SELECT doc_id, tkey, pos, s, CASE WHEN 2 * len(regexp_extract_all(form, '<\*>')) <= len(string_split(form, ' ')) THEN form ELSE flat END AS line FROM f
 ), l AS (SELECT *, md5(line) AS id, string_split(line, ' ') AS w FROM l1 WHERE line <> ''),
 two AS (SELECT doc_id, list_sort(list(DISTINCT id)) AS ids FROM l GROUP BY doc_id),
 n AS (

@@ -150,13 +150,26 @@ def _match(shared: object) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     return run
 
 
-def match_clauses(documents: DataFrame, grammar: Grammar, text_col: str = "text") -> DataFrame:
-    """``documents`` without its text, with the matches of each construction and the score."""
-    keep = [c for c in documents.columns if c != text_col]
-    schema = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in keep)
-    shared = documents.sparkSession.sparkContext.broadcast(grammar)
-    rows = documents.select(*keep, F.col(text_col).alias("_text"))
-    return rows.mapInArrow(_match(shared), f"{schema}, {', '.join(f'{f} long' for f in FEATURES)}, score double")
+def _matched(rows: DataFrame, names: list[str], grammar: Grammar) -> DataFrame:
+    """``names`` of ``rows``, the matches of its _text, and the score."""
+    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in names)
+    shared = rows.sparkSession.sparkContext.broadcast(grammar)
+    return rows.mapInArrow(_match(shared), ", ".join([*([schema] if names else []), *(f"{f} long" for f in FEATURES), "score double"]))
+
+
+def match_clauses(documents: DataFrame, grammar: Grammar, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
+    """One row per row of ``documents``: ``keep``, the matches of each construction and the score."""
+    names = [f"_k{k}" for k in range(len(keep))]
+    rows = documents.select(*(F.col(c).alias(n) for c, n in zip(keep, names, strict=True)), F.col(text_col).alias("_text"))
+    return _matched(rows, names, grammar).toDF(*keep, *FEATURES, "score")
+
+
+def without_toxic(documents: DataFrame, grammar: Grammar, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """``documents`` that score less than ``threshold``, with all their columns."""
+    names = [f"_k{k}" for k in range(len(documents.columns))]
+    rows = documents.toDF(*names)
+    rows = rows.withColumn("_text", F.col(names[documents.columns.index(text_col)]))
+    return _matched(rows, names, grammar).where(F.col("score") < threshold).select(*names).toDF(*documents.columns)
 
 
 def training_sample(documents: DataFrame, labels: DataFrame, limit: int = 20_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
@@ -186,7 +199,7 @@ def fit(labelled: DataFrame, steps: int = 25, ridge: float = 0.05, **terms: int)
     rows = labelled.select("_text", F.col("toxic").cast("int").alias("toxic")).where("_text IS NOT NULL AND toxic IS NOT NULL")
     grammar = Grammar(extra=learn_terms(rows, **terms))
     capped = [F.least(F.col(f), F.lit(3)).alias(f) for f in FEATURES]
-    matched = match_clauses(rows, grammar, "_text").select("toxic", *capped)
+    matched = match_clauses(rows, grammar, ("toxic",), "_text").select("toxic", *capped)
     table = matched.groupBy(*FEATURES).agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("bad")).collect()  # at most 4**5 rows
     if not table:
         return grammar

@@ -226,8 +226,9 @@ def fit_url_model(pages: DataFrame, rules: Rules, sample_urls: int = 20_000, url
     parts = [split_url(u)[:2] for u, _ in sample]
     blocked = np.array([rules.verdicts[r] == BLOCK for _, r in sample], dtype=np.float64)
     lexicon = Lexicon.learn(parts, blocked)
-    x = np.array([lexicon.features(u) for u, _ in sample]).reshape(len(sample), -1)
-    return UrlModel(lexicon, BoostedTrees().fit(x, blocked))
+    if not sample:
+        return UrlModel(lexicon, BoostedTrees().fit(np.zeros((0, 0)), blocked))
+    return UrlModel(lexicon, BoostedTrees().fit(np.array([lexicon.features(u) for u, _ in sample]), blocked))
 
 
 def _judge(shared: object, threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
