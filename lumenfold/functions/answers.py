@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def normal_token(text: str | Column) -> Column:
@@ -112,7 +113,7 @@ def polygon_area(xs: Column, ys: Column) -> Column:
     return F.abs(F.aggregate(cross, F.lit(0.0), lambda a, c: a + c)) / 2
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def boxed(texts: pd.Series) -> pd.Series:
     r"""Content of the last ``\boxed{...}`` with balanced braces, else of the outermost box tokens."""
 
@@ -132,7 +133,7 @@ def boxed(texts: pd.Series) -> pd.Series:
     return texts.map(find)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def lcs_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """Longest common subsequence over the longer length; two empty texts are alike."""
 
