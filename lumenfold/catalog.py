@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lumenfold.plans import clustering, evaluation, joins, raster, shaping, state, text, votes  # noqa: F401
+from lumenfold.plans import clustering, evaluation, joins, raster, refinement, shaping, state, text, votes  # noqa: F401
 from lumenfold.plans.registry import QUERIES, SQL, Query
 
 FLAGSHIP = "a4_weighted_vote"

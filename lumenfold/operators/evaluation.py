@@ -12,6 +12,8 @@ from pyspark.sql.window import Window
 
 from lumenfold.functions.assignment import assign
 
+from .grouped import Columns, each_group
+
 
 def hungarian(pairs: DataFrame, keys: list[str], left: str, right: str, score: str) -> DataFrame:
     """(keys, left, right, score): the one-to-one matching of largest summed score in each group.
@@ -19,34 +21,29 @@ def hungarian(pairs: DataFrame, keys: list[str], left: str, right: str, score: s
     A group is one image or time step, whose size the data model bounds.
     """
     kinds = {f.name: f.dataType.simpleString() for f in pairs.schema}
-    schema = ", ".join(f"{c} {kinds[c]}" for c in [*keys, left, right, score])
-
-    def match(group: pd.DataFrame) -> pd.DataFrame:
-        rows, columns = sorted(group[left].unique()), sorted(group[right].unique())
-        grid = np.zeros((len(rows), len(columns)))
-        at_row, at_column = {v: k for k, v in enumerate(rows)}, {v: k for k, v in enumerate(columns)}
-        has = np.zeros(grid.shape, dtype=bool)
-        for a, b, s in zip(group[left], group[right], group[score], strict=True):
-            grid[at_row[a], at_column[b]], has[at_row[a], at_column[b]] = s, True
-        found = [(rows[r], columns[c], grid[r, c]) for r, c in assign(-grid) if has[r, c]]
-        out = pd.DataFrame(found, columns=[left, right, score])
-        for k in keys:
-            out[k] = group[k].iloc[0]
-        return out[[*keys, left, right, score]]
 
-    return pairs.select(*keys, left, right, score).groupBy(*keys).applyInPandas(match, schema)
+    def match(group: Columns) -> Columns:
+        rows, at_row = np.unique(group[left], return_inverse=True)
+        columns, at_column = np.unique(group[right], return_inverse=True)
+        grid, has = np.zeros((len(rows), len(columns))), np.zeros((len(rows), len(columns)), dtype=bool)
+        grid[at_row, at_column], has[at_row, at_column] = group[score], True
+        found = [(r, c) for r, c in assign(-grid) if has[r, c]]
+        r, c = np.array([x for x, _ in found], dtype=int), np.array([x for _, x in found], dtype=int)
+        return {left: rows[r], right: columns[c], score: grid[r, c]}
+
+    return each_group(pairs, keys, [left, right, score], match, ", ".join(f"{c} {kinds[c]}" for c in [*keys, left, right, score]))
 
 
 def greedy_keep(boxes: DataFrame, keys: list[str], ident: str, score: str, box: list[str], limit: float, mode: str = "iou") -> DataFrame:
     """Greedy suppression by falling score (lowest id first on ties): a box goes if it overlaps a kept one by more than ``limit``.
 
-    Order-dependent, hence one pandas pass per image; ``mode`` "iom" divides by the
+    Order-dependent, hence one NumPy pass per image; ``mode`` "iom" divides by the
     smaller area.
     """
 
-    def keep(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values([score, ident], ascending=[False, True])
-        b = group[box].to_numpy(dtype=np.float64)
+    def keep(group: Columns) -> Columns:
+        order = np.lexsort((group[ident], -group[score]))
+        b = np.stack([group[c][order] for c in box], axis=1).astype(np.float64)
         area = (b[:, 2] - b[:, 0]) * (b[:, 3] - b[:, 1])
         alive, kept = np.ones(len(b), dtype=bool), []
         for i in range(len(b)):
@@ -58,9 +55,11 @@ def greedy_keep(boxes: DataFrame, keys: list[str], ident: str, score: str, box:
             inter = np.clip(w, 0, None) * np.clip(h, 0, None)
             below = np.minimum(area[i], area) if mode == "iom" else area[i] + area - inter
             alive &= ~(inter > limit * below)
-        return group.iloc[kept]
+        return {c: group[c][order[kept]] for c in names}
 
-    return boxes.groupBy(*keys).applyInPandas(keep, boxes.schema)
+    names = [c for c in boxes.columns if c not in keys]
+    kinds = {f.name: f.dataType.simpleString() for f in boxes.schema}
+    return each_group(boxes, keys, names, keep, ", ".join(f"{c} {kinds[c]}" for c in boxes.columns))
 
 
 def threshold_counts(matched: DataFrame, keys: list[str], score: str, n_left: str, n_right: str, thresholds: list[float]) -> DataFrame:

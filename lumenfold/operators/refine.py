@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .grouped import Columns, each_group
+
 
 def circle_moments(x: Column, y: Column) -> list[Column]:
     """Aggregates from which a circle follows: the points of a group never meet in one place."""
@@ -91,8 +93,9 @@ def merge_boxes_to_fixpoint(boxes: DataFrame, group: str, box: list[str], score:
     """
     kind = boxes.schema[group].dataType.simpleString()
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        found = [(*b, s, 1) for b, s in zip(rows[box].to_numpy(dtype=float).tolist(), rows[score].to_numpy(dtype=float).tolist(), strict=True)]
+    def run(rows: Columns) -> Columns:
+        corners = np.stack([rows[c] for c in box], axis=1).astype(float).tolist()
+        found = [(*b, float(s), 1) for b, s in zip(corners, rows[score], strict=True)]
         found.sort(key=lambda r: (-r[4], r[:4]))
         changed = True
         while changed:
@@ -109,11 +112,10 @@ def merge_boxes_to_fixpoint(boxes: DataFrame, group: str, box: list[str], score:
                 else:
                     done.append(r)
             found = done
-        out = pd.DataFrame(found, columns=[*box, score, "n"])
-        out.insert(0, group, rows[group].iloc[0])
-        return out
+        made = np.array(found)
+        return {**{c: made[:, k] for k, c in enumerate([*box, score])}, "n": made[:, 5].astype(np.int64)}
 
-    return boxes.select(group, *box, score).groupBy(group).applyInPandas(run, f"{group} {kind}, {', '.join(f'{b} double' for b in box)}, {score} double, n long")
+    return each_group(boxes, [group], [*box, score], run, f"{group} {kind}, {', '.join(f'{b} double' for b in box)}, {score} double, n long")
 
 
 def clip_area(a: np.ndarray, b: np.ndarray) -> float:
