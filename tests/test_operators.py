@@ -76,3 +76,17 @@ def test_answer_functions(spark):
         A.edit_similarity("e1", "e2"), A.boxed("box"), A.list_equal(F.col("l1"), F.col("l2")), A.number_equal(F.col("n1"), F.col("n2")), A.lcs_ratio("e1", "e2"), A.year_exact(F.lit("1999"), F.lit("2000"))
     ).first()
     assert tuple(got) == (0.0, "a{b}c", True, True, 1.0, False)
+
+
+def test_groups_that_cross_arrow_batches(spark):
+    from lumenfold.operators.grouped import each_group
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        rows = spark.createDataFrame([(k, k * 10 + j) for k in range(7) for j in range(k)], "k long, v long")
+        total = lambda c: {"total": np.array([c["v"].sum()]), "n": np.array([len(c["v"])])}
+        got = {r.k: (r.total, r.n) for r in each_group(rows, ["k"], ["v"], total, "k long, total long, n long").collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == {k: (sum(k * 10 + j for j in range(k)), k) for k in range(1, 7)}
