@@ -174,3 +174,19 @@ def test_line_templates(spark):
     assert all(got[100 + k].text == page for k in range(30))
     assert got[200].text is None and got[201].text == "" and got[202].text == "\n\n"
     assert set(got[0].asDict()) == {"doc_id", "text", "_text", "n_words", "n_lines", "n_dropped"}
+
+
+def test_near_duplicates_around_a_common_passage(spark):
+    rng = random.Random(8)
+    passage = [f"p{k}" for k in range(70)]
+    rows, want = [], {}
+    for d in range(120):
+        words = [f"u{d}x{k}" for k in range(30)] + passage + [f"v{d}x{k}" for k in range(30)]
+        rows.append((d, " ".join(words)))
+        want[d] = d
+        if d % 6 == 0:  # a copy with single words changed
+            for _ in range(6):
+                words[rng.randrange(len(words))] = f"e{rng.randrange(999)}"
+            rows.append((1000 + d, " ".join(words)))
+            want[1000 + d] = d
+    assert {r.doc_id: r.class_id for r in near_duplicates(frame(spark, rows)).collect()} == want
