@@ -51,7 +51,7 @@ def learn_dictionaries(
     stretch = F.substring("_text", 1 + F.greatest(F.lit(0), (F.length("_text") - 4 * share) / 2).cast("int"), F.lit(4 * share))
     # by hash, about four times as many documents as wanted are looked at; copies of a text count once
     hashed = rows.withColumn("_h", F.xxhash64("_text")).join(F.broadcast(counts), "_lang")
-    near = hashed.where(F.pmod("_h", F.lit(1 << 30)) * F.col("_n") < (4 * sample_docs) * (1 << 30))
+    near = hashed.where(F.pmod("_h", F.lit(1 << 30)).cast("double") * F.col("_n") < 4.0 * sample_docs * (1 << 30))
     texts = near.groupBy("_lang", "_h").agg(F.min(stretch).alias("_part"))
     chosen = Window.partitionBy("_lang").orderBy("_h")
     sample = texts.withColumn("_rank", F.row_number().over(chosen)).where(F.col("_rank") <= sample_docs)

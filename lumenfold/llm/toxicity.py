@@ -36,6 +36,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import likely_smallest
+
 #: Terminals of the grammar.
 INSULTS = (
     "idiot idiots moron morons stupid scum trash loser losers clown clowns pathetic worthless disgusting dumb imbecile fool filthy vermin "
@@ -178,8 +180,9 @@ def training_sample(documents: DataFrame, labels: DataFrame, limit: int = 20_000
     The bound is what makes the label side small enough to broadcast: no text is
     shuffled.  Of several labels for one id the largest counts.
     """
-    ids = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).cast("int").alias("_toxic"))
-    ids = ids.orderBy(F.xxhash64(id_col), id_col).limit(limit)
+    known = likely_smallest(labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()), id_col, limit)
+    ids = known.groupBy(id_col).agg(F.max(label_col).cast("int").alias("_toxic"))
+    ids = ids.orderBy(F.pmod(F.xxhash64(id_col), F.lit(1 << 30)), id_col).limit(limit)
     texts = documents.select(id_col, F.col(text_col).alias("_text"))
     return texts.join(F.broadcast(ids), id_col).select("_text", F.col("_toxic").alias("toxic"))
 

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import likely_smallest
+
 ALLOW, BLOCK = "allow", "block"
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -221,8 +223,9 @@ def fit_url_model(pages: DataFrame, rules: Rules, sample_urls: int = 20_000, url
     """Trees trained on at most ``sample_urls`` of the distinct URLs that ``rules`` decide."""
     shared = pages.sparkSession.sparkContext.broadcast(rules)
     urls = pages.select(F.col(url_col).alias("_url")).where("_url IS NOT NULL")
-    decided = urls.mapInArrow(_rule_of(shared), "_url string, _rule string").where("_rule IS NOT NULL").distinct()
-    sample = decided.orderBy(F.xxhash64("_url"), "_url").limit(sample_urls).collect()
+    near = likely_smallest(urls, "_url", sample_urls)
+    decided = near.mapInArrow(_rule_of(shared), "_url string, _rule string").where("_rule IS NOT NULL").distinct()
+    sample = decided.orderBy(F.pmod(F.xxhash64("_url"), F.lit(1 << 30)), "_url").limit(sample_urls).collect()
     parts = [split_url(u)[:2] for u, _ in sample]
     blocked = np.array([rules.verdicts[r] == BLOCK for _, r in sample], dtype=np.float64)
     lexicon = Lexicon.learn(parts, blocked)
