@@ -34,11 +34,11 @@ def hungarian(pairs: DataFrame, keys: list[str], left: str, right: str, score: s
     return each_group(pairs, keys, [left, right, score], match, ", ".join(f"{c} {kinds[c]}" for c in [*keys, left, right, score]))
 
 
-def greedy_keep(boxes: DataFrame, keys: list[str], ident: str, score: str, box: list[str], limit: float, mode: str = "iou") -> DataFrame:
+def greedy_keep(boxes: DataFrame, keys: list[str], ident: str, score: str, box: list[str], limit: float, mode: str = "iou", at_limit: bool = False) -> DataFrame:
     """Greedy suppression by falling score (lowest id first on ties): a box goes if it overlaps a kept one by more than ``limit``.
 
     Order-dependent, hence one NumPy pass per image; ``mode`` "iom" divides by the
-    smaller area.
+    smaller area; ``at_limit`` lets an overlap of just ``limit`` suppress, too.
     """
 
     def keep(group: Columns) -> Columns:
@@ -54,7 +54,7 @@ def greedy_keep(boxes: DataFrame, keys: list[str], ident: str, score: str, box:
             h = np.minimum(b[i, 3], b[:, 3]) - np.maximum(b[i, 1], b[:, 1])
             inter = np.clip(w, 0, None) * np.clip(h, 0, None)
             below = np.minimum(area[i], area) if mode == "iom" else area[i] + area - inter
-            alive &= ~(inter > limit * below)
+            alive &= ~(inter >= limit * below if at_limit else inter > limit * below)
         return {c: group[c][order[kept]] for c in names}
 
     names = [c for c in boxes.columns if c not in keys]

@@ -137,3 +137,20 @@ def along(points: DataFrame, key: str, order: str, x: str, y: str) -> DataFrame:
     w = Window.partitionBy(key).orderBy(order)
     step = F.sqrt((F.col(x) - F.lag(x).over(w)) ** 2 + (F.col(y) - F.lag(y).over(w)) ** 2)
     return points.withColumn("_step", F.coalesce(step, F.lit(0.0))).withColumn("length", F.sum("_step").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_step")
+
+
+def dilated(mask: DataFrame, x: str = "x", y: str = "y", half: int = 1) -> DataFrame:
+    """Pixels within ``half`` rows and columns of the mask."""
+    steps = F.sequence(F.lit(-half), F.lit(half))
+    wide = mask.select(x, y, F.explode(steps).alias("_d")).select((F.col(x) + F.col("_d")).alias(x), y).distinct()
+    return wide.select(x, y, F.explode(steps).alias("_d")).select(x, (F.col(y) + F.col("_d")).alias(y)).distinct()
+
+
+def eroded(mask: DataFrame, x: str = "x", y: str = "y", half: int = 1) -> DataFrame:
+    """Pixels whose whole neighbourhood is in the mask."""
+    steps = F.sequence(F.lit(-half), F.lit(half))
+    full = 2 * half + 1
+    wide = mask.select(x, y, F.explode(steps).alias("_d")).select((F.col(x) + F.col("_d")).alias(x), y)
+    rows = wide.groupBy(x, y).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == full).select(x, y)
+    tall = rows.select(x, y, F.explode(steps).alias("_d")).select(x, (F.col(y) + F.col("_d")).alias(y))
+    return tall.groupBy(x, y).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == full).select(x, y)

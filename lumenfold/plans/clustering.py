@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumenfold.operators import geometry as G
 from lumenfold.operators import spatial as S
 
 from .registry import query, table
@@ -89,3 +90,13 @@ def a24(spark: SparkSession, d: str) -> DataFrame:
     ident = lambda x, y: (F.col(x) * 1000 + F.col(y))
     found = S.components(neighbours(_mask(spark, d)).select(ident("x", "y").alias("a"), ident("nx", "ny").alias("b")))
     return found.groupBy("root").agg(F.count(F.lit(1)).alias("area")).where("area >= 3")
+
+
+@query(
+    "g1_mask_closing",
+    f"""WITH m AS ({_PIX}), d AS (SELECT DISTINCT x + i AS x, y + j AS y FROM m, (SELECT unnest([-1, 0, 1]) AS i), (SELECT unnest([-1, 0, 1]) AS j))
+    SELECT x + i AS x, y + j AS y FROM d, (SELECT unnest([-1, 0, 1]) AS i), (SELECT unnest([-1, 0, 1]) AS j) GROUP BY 1, 2 HAVING count(*) = 9""",
+)
+def g1(spark: SparkSession, d: str) -> DataFrame:
+    """Closing of a mask by one pixel: dilation, then erosion."""
+    return G.eroded(G.dilated(_mask(spark, d)))

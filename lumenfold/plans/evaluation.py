@@ -31,6 +31,12 @@ def w4(spark: SparkSession, d: str) -> DataFrame:
     return E.greedy_keep(boxes, ["img"], "id", "score", ["x1", "y1", "x2", "y2"], 0.3, "iom").select("img", "id")
 
 
+@query("w3_frame_nms")
+def w3(spark: SparkSession, d: str) -> DataFrame:
+    boxes = _boxes(spark, d).withColumn("score", F.col("x1") * 0.01 + F.col("y1") * 0.001)
+    return E.greedy_keep(boxes, ["img"], "id", "score", ["x1", "y1", "x2", "y2"], 0.5, at_limit=True).select("img", "id")
+
+
 _IL = """SELECT lang, sum((quality = 1 AND toxic = 1)::INT) AS il_tp, sum((quality = 0 AND toxic = 1)::INT) AS il_fp, sum((quality = 1 AND toxic = 0)::INT) AS il_fn, sum((quality = 0 AND toxic = 0)::INT) AS il_tn,
 sum((quality = 1)::INT) * 3 AS tp, sum((toxic = 1)::INT) * 2 AS fp, sum((quality = 0)::INT) AS fn FROM labels JOIN documents USING (doc_id) GROUP BY 1"""
 
