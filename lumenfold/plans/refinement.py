@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from lumenfold.operators import evaluation as E
 from lumenfold.operators import refine as R
+from lumenfold.operators import roads as Q
 
 from .clustering import _mask
 from .joins import _boxes, box_pairs
@@ -38,6 +39,12 @@ def g2(spark: SparkSession, d: str) -> DataFrame:
     return R.per_raster(rows, "k", "x", "y", "thin")
 
 
+@query("g6_road_edges")
+def g6(spark: SparkSession, d: str) -> DataFrame:
+    """Graph edges of each raster's skeleton, spurs below 2 pixels pruned."""
+    return Q.road_edges(g2(spark, d).select("k", "x", "y"), "k", shortest=2.0)
+
+
 @query(
     "a28_mean_iou",
     """WITH p AS (SELECT l_linenumber AS cls, l_returnflag = 'A' AS t, l_linestatus = 'F' AS p FROM lineitem) SELECT cls, round(sum((t AND p)::INT) / greatest(sum((t OR p)::INT), 1)::DOUBLE, 6) AS iou FROM p GROUP BY 1""",
