@@ -134,7 +134,7 @@ def quality_verdicts(
     source_col: str = "source",
 ) -> DataFrame:
     """id, the base measures, base_failed and kept, one row per row of ``documents``."""
-    slack = slack or {"mean_word": 1.0, "symbol_rate": 0.02, "dup_line_rate": 0.2}
+    slack = slack or {"mean_word": 1.0, "symbol_rate": 0.02, "dup_line_rate": 0.5}
     rows = documents.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang_of"), F.col(source_col).alias("_source_of"), F.col(text_col).alias("_text_of"))
     measured = Cuts(documents.sparkSession, "quality").put("measured", base_measures(rows, "_text_of"))
     limits = adaptive_limits(measured, ("_lang_of", "_source_of"), low, high, spread, slack, least_rows, k)

@@ -170,7 +170,7 @@ WITH d AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND coalesce(a >= a1 - (3.0::DOUBLE * (a3 - a1) + 1.0::DOUBLE) AND a <= a3 + (3.0::DOUBLE * (a3 - a1) + 1.0::DOUBLE)
          AND b >= b1 - (3.0::DOUBLE * (b3 - b1) + 0.02::DOUBLE) AND b <= b3 + (3.0::DOUBLE * (b3 - b1) + 0.02::DOUBLE)
-         AND c >= c1 - (3.0::DOUBLE * (c3 - c1) + 0.2::DOUBLE) AND c <= c3 + (3.0::DOUBLE * (c3 - c1) + 0.2::DOUBLE), false) AS kept
+         AND c >= c1 - (3.0::DOUBLE * (c3 - c1) + 0.5::DOUBLE) AND c <= c3 + (3.0::DOUBLE * (c3 - c1) + 0.5::DOUBLE), false) AS kept
 FROM v LEFT JOIN q ON v.lang IS NOT DISTINCT FROM q.lang AND v.source IS NOT DISTINCT FROM q.source
 """
 
