@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .rolling import WORD_BASES, byte_hash, byte_prefix, spans, text_runs, window_hash
 from .store import Cuts
-from .substring_dedup import keyed, of_documents, owner
+from .substring_dedup import keyed, owner
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
