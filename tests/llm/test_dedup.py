@@ -190,3 +190,21 @@ def test_near_duplicates_around_a_common_passage(spark):
             rows.append((1000 + d, " ".join(words)))
             want[1000 + d] = d
     assert {r.doc_id: r.class_id for r in near_duplicates(frame(spark, rows)).collect()} == want
+
+
+def changed(words, share, rng, tag, lo=0):
+    words = list(words)
+    for i in rng.sample(range(lo, len(words)), round(share * len(words))):
+        words[i] = f"{tag}{i}"
+    return words
+
+
+def test_near_duplicates_in_a_crowded_bucket(spark):
+    rng = random.Random(11)
+    passage = [f"p{k}" for k in range(300)]
+    rows, want = [], {}
+    for d in range(60):  # half a common passage; a near copy differs in its own half
+        words = passage + [f"u{d}x{k}" for k in range(300)]
+        rows += [(d, " ".join(words)), (1000 + d, " ".join(changed(words, 110 / 600, rng, f"e{d}x", 300)))]
+        want |= {d: d, 1000 + d: d}
+    assert {r.doc_id: r.class_id for r in near_duplicates(frame(spark, rows)).collect()} == want
