@@ -208,3 +208,15 @@ def test_near_duplicates_in_a_crowded_bucket(spark):
         rows += [(d, " ".join(words)), (1000 + d, " ".join(changed(words, 110 / 600, rng, f"e{d}x", 300)))]
         want |= {d: d, 1000 + d: d}
     assert {r.doc_id: r.class_id for r in near_duplicates(frame(spark, rows)).collect()} == want
+
+
+def test_near_duplicates_through_an_explained_member(spark):
+    rng = random.Random(12)
+    rows, want = [], {}
+    for g in range(4):
+        a = [f"g{g}w{k}" for k in range(400)]
+        far = changed(a, 0.17, rng, f"b{g}x")
+        rows += [(1000 * g + d, " ".join(changed(a, 0.1, rng, f"l{g}x{d}x"))) for d in range(50)]
+        rows += [(1000 * g + 500, " ".join(a)), (1000 * g + 501, " ".join(far))]
+        want |= {d: 1000 * g for d, _ in rows if d >= 1000 * g}
+    assert {r.doc_id: r.class_id for r in near_duplicates(frame(spark, rows)).collect()} == want
