@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lumenfold.llm.alignment import edit_distance
 from lumenfold.llm.line_templates import dedup_lines
-from lumenfold.llm.order_minhash import near_duplicates
+from lumenfold.llm.order_minhash import near_duplicates, without_near_duplicates
 from lumenfold.llm.substring_dedup import substring_dedup
 from lumenfold.llm.suffix_dedup import intervals, maximal_repeats, suffix_dedup
 
@@ -220,3 +220,14 @@ def test_near_duplicates_through_an_explained_member(spark):
         rows += [(1000 * g + 500, " ".join(a)), (1000 * g + 501, " ".join(far))]
         want |= {d: 1000 * g for d, _ in rows if d >= 1000 * g}
     assert {r.doc_id: r.class_id for r in near_duplicates(frame(spark, rows)).collect()} == want
+
+
+def test_near_duplicates_tell_apart_texts_of_one_id(spark):
+    rng = random.Random(13)
+    one, two = [[f"{c}{k}" for k in range(100)] for c in "ab"]
+    near = lambda words: " ".join(changed(words, 0.05, rng, "e"))
+    rows = [(3, " ".join(one)), (9, " ".join(two)), (None, near(one)), (None, near(two)), (20, near(one)), (20, " ".join(f"c{k}" for k in range(100)))]
+    got = sorted((r.doc_id or 0, r.class_id, r.class_size) for r in near_duplicates(frame(spark, rows)).collect())
+    assert got == [(0, 3, 3), (0, 9, 2), (3, 3, 3), (9, 9, 2), (20, 3, 3), (20, 20, 1)]
+    kept = sorted((r.doc_id or 0, r.text) for r in without_near_duplicates(frame(spark, rows)).collect())
+    assert kept == sorted((d or 0, t) for d, t in [rows[0], rows[1], rows[2], rows[3], rows[5]])
