@@ -11,11 +11,13 @@ Everything here is DataFrame functions: no Python touches a row.
   their own masked form.  Unlike in a sequential parser the result does not depend
   on the order of lines.
 * **Recurrence.**  A template recurs if it stands in at least ``least_documents``
-  different surroundings, and in at least half as many as there are different texts
-  that hold it.  A text's surroundings of a line are the smallest other line ids in
-  it: copies and near-copies of one text share theirs, so a page that was copied
-  often is not mistaken for boilerplate, while a notice on unrelated pages is caught.
-  Lines of recurring templates are dropped everywhere.
+  different surroundings.  Templates that fewer texts hold are a text's own.  A text's
+  surroundings are its smallest own template; where less than a fifth of its templates
+  are its own, it is a near copy, and they are a template that it shares with others.
+  So copies and near copies of one text have the same, and a page that was copied often
+  is not mistaken for boilerplate, while a notice on unrelated pages is caught, however
+  many lines it has and however many copies there are elsewhere.  Lines of recurring
+  templates are dropped everywhere.
 
 Scale: leaves and templates are counted by partial aggregation, distinct counts in
 two steps; joins are equi-joins on hashes that AQE may split.  Only leaves that can
@@ -49,17 +51,13 @@ def masked(line: Column) -> Column:
 
 
 def parsed_lines(docs: DataFrame, depth: int) -> DataFrame:
-    """(_ord, _tkey, _pos, _line, _id, _leaf, _sig) of every line that is not blank."""
+    """(_ord, _tkey, _pos, _line, _id, _leaf) of every line that is not blank."""
     lines = F.transform(F.split("_text", "\n"), lambda s, i: F.struct(i.alias("pos"), masked(s).alias("line")))
-    rows = docs.select("_ord", "_tkey", F.filter(lines, lambda x: x["line"] != "").alias("_lines"))
-    rows = rows.withColumn("_ids", F.transform("_lines", lambda x: F.md5(x["line"])))
-    rows = rows.withColumn("_least", F.slice(F.array_sort(F.array_distinct("_ids")), 1, 2))
-    one = rows.select("_ord", "_tkey", "_least", F.explode(F.arrays_zip("_lines", "_ids")).alias("_x"))
+    one = docs.select("_ord", "_tkey", F.explode(F.filter(lines, lambda x: x["line"] != "")).alias("_x"))
     words = F.split("_line", " ")
-    other = F.when(F.col("_least")[0] != F.col("_id"), F.col("_least")[0]).otherwise(F.coalesce(F.get("_least", F.lit(1)), F.col("_id")))
-    return one.select(
-        "_ord", "_tkey", F.col("_x._lines.pos").alias("_pos"), F.col("_x._lines.line").alias("_line"), F.col("_x._ids").alias("_id"), "_least"
-    ).select("_ord", "_tkey", "_pos", "_line", "_id", F.xxhash64(F.size(words), F.slice(words, 1, depth)).alias("_leaf"), other.alias("_sig"))
+    return one.select("_ord", "_tkey", F.col("_x.pos").alias("_pos"), F.col("_x.line").alias("_line")).select(
+        "_ord", "_tkey", "_pos", "_line", F.md5("_line").alias("_id"), F.xxhash64(F.size(words), F.slice(words, 1, depth)).alias("_leaf")
+    )
 
 
 def leaf_templates(cuts: Cuts, lines: DataFrame, similarity: float, least: int) -> DataFrame:
@@ -83,13 +81,21 @@ def recurring_lines(cuts: Cuts, docs: DataFrame, depth: int, similarity: float,
     """(_ord, _tkey, _drop): the line numbers that each document loses."""
     lines = cuts.put("lines", parsed_lines(docs, depth))
     templates = cuts.put("templates", leaf_templates(cuts, lines, similarity, least_documents))
-    known = lines.select("_ord", "_tkey", "_pos", "_id", "_sig").join(templates.hint(MERGE), "_id", "left")
-    known = cuts.put("known", known.select("_ord", "_tkey", "_pos", "_sig", F.coalesce("_template", "_id").alias("_template")))
+    known = lines.select("_ord", "_tkey", "_pos", "_id").join(templates.hint(MERGE), "_id", "left")
+    known = cuts.put("known", known.select("_ord", "_tkey", "_pos", F.coalesce("_template", "_id").alias("_template")))
     cuts.drop("lines", "leaves", "forms", "consensus", "templates")
-    texts = known.groupBy("_template", "_sig", "_tkey").agg(F.count(F.lit(1)).alias("_n"))
-    sigs = texts.groupBy("_template", "_sig").agg(F.count(F.lit(1)).alias("_texts"))
-    counts = sigs.groupBy("_template").agg(F.count(F.lit(1)).alias("_sigs"), F.sum("_texts").alias("_texts"))
-    often = cuts.put("often", counts.where((F.col("_sigs") >= least_documents) & (2 * F.col("_sigs") >= F.col("_texts"))).select("_template"))
+    held = cuts.put("held", known.select("_tkey", "_template").distinct())
+    common = held.groupBy("_template").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least_documents)
+    common = cuts.put("common", common.select("_template", F.lit(True).alias("_common")))
+    told = cuts.put("told", held.join(common.hint(MERGE), "_template", "left").select("_tkey", "_template", F.coalesce("_common", F.lit(False)).alias("_common")))
+    own, others = F.when(~F.col("_common"), F.col("_template")), F.when(F.col("_common"), F.col("_template"))
+    around = told.groupBy("_tkey").agg(F.count(F.lit(1)).alias("_all"), F.count(own).alias("_few"), F.min(own).alias("_own"), F.min(others).alias("_least"), F.max(others).alias("_most"))
+    around = cuts.put("around", around.where("_least IS NOT NULL"))
+    sig = F.when((F.col("_few") > 0) & (5 * F.col("_few") >= F.col("_all")), F.col("_own")).when(F.col("_template") != F.col("_least"), F.col("_least")).otherwise(F.col("_most"))
+    sigs = told.where("_common").join(around.hint(MERGE), "_tkey").select("_template", sig.alias("_sig")).distinct()
+    counts = sigs.groupBy("_template").agg(F.count(F.lit(1)).alias("_sigs"))
+    often = cuts.put("often", counts.where(F.col("_sigs") >= least_documents).select("_template"))
+    cuts.drop("held", "common", "told", "around")
     found = cuts.put("drops", known.join(often.hint(MERGE), "_template").groupBy("_ord", "_tkey").agg(F.array_sort(F.collect_set("_pos")).alias("_drop")))
     cuts.drop("known", "often")
     return found

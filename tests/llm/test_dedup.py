@@ -231,3 +231,22 @@ def test_near_duplicates_tell_apart_texts_of_one_id(spark):
     assert got == [(0, 3, 3), (0, 9, 2), (3, 3, 3), (9, 9, 2), (20, 3, 3), (20, 20, 1)]
     kept = sorted((r.doc_id or 0, r.text) for r in without_near_duplicates(frame(spark, rows)).collect())
     assert kept == sorted((d or 0, t) for d, t in [rows[0], rows[1], rows[2], rows[3], rows[5]])
+
+
+def notice_pages(lines, own, count, first):
+    return [(first + d, "\n".join([f"own{c} of{d} page{c}x{d}".replace("0", "o") + chr(97 + d % 26) * (d // 26 + 1) for c in range(own)] + [f"notice line {'abcdefghijklmnopqrstuvwxyz'[k] * 3} stands here" for k in range(lines)])) for d in range(count)]
+
+
+@pytest.mark.parametrize(("own", "lines"), [(1, 3), (2, 5), (5, 20)])
+def test_notice_of_several_lines(spark, own, lines):
+    rows = notice_pages(lines, own, 100, 0)
+    assert {r.n_dropped for r in dedup_lines(frame(spark, rows)).collect()} == {lines}
+
+
+def test_copies_elsewhere_do_not_protect_a_notice(spark):
+    rows = notice_pages(1, 4, 100, 0)
+    page = [f"passage {chr(97 + k) * 4} of the copied page" for k in range(12)] + [rows[0][1].split("\n")[-1]]
+    for d in range(400):
+        rows.append((1000 + d, "\n".join([*page, f"changed {chr(97 + d % 26) * (d // 26 + 1)}"])))
+    got = {r.doc_id: r.n_dropped for r in dedup_lines(frame(spark, rows)).collect()}
+    assert got == {d: 1 for d, _ in rows}
