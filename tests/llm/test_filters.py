@@ -208,3 +208,8 @@ def test_quality(spark):
 def test_base_measures(spark, text, want):
     r = quality_verdicts(spark.createDataFrame([(1, text, "en", "s", "x", 1)], SCHEMA)).first()
     assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+
+
+def test_dictionaries_of_a_language_of_mostly_copies(spark):
+    spread = spark.range(300_000).selectExpr("'aa' AS lang", "IF(id < 299000, 'one text over and over', concat('text number ', id)) AS text")
+    assert learn_dictionaries(spread)["aa"].count(b"text number") >= 390
