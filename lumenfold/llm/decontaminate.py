@@ -30,8 +30,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .rolling import WORD_BASES, byte_hash, byte_prefix, spans, text_runs, window_hash
-from .store import Cuts
+from .store import Cuts, small_batches
 from .substring_dedup import keyed, owner
+from .worker import frugal
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -112,7 +113,7 @@ def _scan(shared: Broadcast, keep_text: bool = False) -> Callable[[Iterator[pa.R
                     [*names, "n_words", "hits", "items"],
                 )
 
-    return run
+    return frugal(run)
 
 
 def merged(spans_of: list[dict[str, int]]) -> list[dict[str, int]]:
@@ -158,6 +159,7 @@ def find_contamination(
 ) -> DataFrame:
     """One row per row of ``documents``: id, n_words, hits (word spans) and items (sorted ids)."""
     spark = documents.sparkSession
+    small_batches(spark)
     kind = documents.schema[id_col].dataType.simpleString()
     docs = keyed(documents, id_col, text_col, F.col(id_col).alias("_id"))
     blocks = list(index_blocks(benchmark, item_col, item_text_col, block_bytes))
@@ -216,6 +218,7 @@ def decontaminate(
     if remove not in ("documents", "spans"):
         raise ValueError(remove)
     spark = documents.sparkSession
+    small_batches(spark)
     names = [f"_c{k}" for k in range(len(documents.columns))]
     types = [f.dataType.simpleString() for f in documents.schema]
     rows = documents.toDF(*names)

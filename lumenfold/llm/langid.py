@@ -27,6 +27,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .store import small_batches
+from .worker import frugal
+
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
 
@@ -115,7 +118,7 @@ def _classify(shared: object) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
                 [*(c for c in batch.schema.names if c != "_text"), "best", "score", "margin"],
             )
 
-    return run
+    return frugal(run)
 
 
 def identify_language(
@@ -123,6 +126,7 @@ def identify_language(
 ) -> DataFrame:
     """One row per row of ``documents``: id, best, score, margin (bytes) and lang, which is ``und`` where the margin is narrow."""
     kind = documents.schema[id_col].dataType.simpleString()
+    small_batches(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(dictionaries)
     docs = documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     found = docs.mapInArrow(_classify(shared), f"_id {kind}, best string, score double, margin long")

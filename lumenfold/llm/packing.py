@@ -42,9 +42,10 @@ from pyspark.sql.window import Window
 from .rolling import text_runs
 from .store import Cuts
 from .substring_dedup import keyed
+from .worker import FORGET, frugal
 
 #: Words whose ids a worker keeps; then it starts anew.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 400_000
 #: An ASCII letter and an ASCII sign or digit after it; an apostrophe may open a contraction.
 _AFTER_LETTER = re.compile(rb"([a-z])([!-&(-@\[-`{-~])")
 
@@ -144,6 +145,9 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+FORGET["packing"] = encoder.cache_clear
+
+
 def _pieces(path: str, capacity: int, closing: int, with_ids: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(path)
@@ -171,7 +175,7 @@ def _pieces(path: str, capacity: int, closing: int, with_ids: bool) -> Callable[
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return run
+    return frugal(run, "packing")
 
 
 class ComplementIndex:
@@ -284,7 +288,7 @@ def _placed(ranges: Ranges) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
             names = [c for c in batch.schema.names if c != "_rank"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"])
 
-    return run
+    return frugal(run)
 
 
 def pack(

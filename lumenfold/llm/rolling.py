@@ -19,6 +19,8 @@ WORD_BASES = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 #: Texts are worked on in runs of about this many bytes, which bounds the arrays.
 RUN_BYTES = 1 << 19
 
+#: Longer tables, as a very long text needs, are not kept.
+KEPT_POWERS = 1 << 20
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -33,7 +35,9 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
             p = np.full(size, b, dtype=U64)
             p[0] = 1
             out.append(np.multiply.accumulate(p))
-        have = _powers[base] = (out[0], out[1])
+        have = (out[0], out[1])
+        if size <= KEPT_POWERS:
+            _powers[base] = have
     return have
 
 

@@ -17,15 +17,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Rows are whole documents, so an Arrow batch of Spark's usual size takes much memory.
-ROWS_PER_BATCH = 1000
+BATCH_BOUNDS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 16 << 20}
+#: A phase of this many seconds has left shuffle files that are worth collecting.
+LONG_S = 1.0
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches, also for results that are read later; smaller bounds stay."""
+    for key, most in BATCH_BOUNDS.items():
+        have = int(spark.conf.get(key).rstrip("b"))
+        if not 0 < have <= most:
+            spark.conf.set(key, str(most))
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a local one only where it is unset."""
+    """The folder in ``spark.checkpoint.dir``; a session on one machine may leave it unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found is None:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="lumenfold-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -49,17 +60,15 @@ class Cuts:
         self.spark = spark
         self.root = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         self.paths: dict[str, str] = {}
+        small_batches(spark)
 
     def put(self, tag: str, df: DataFrame) -> DataFrame:
         """Write ``df`` and return the table read back; shuffles behind it may go."""
         path = f"{self.root}/{tag}"
-        self.release()
-        before = self.spark.conf.get(BATCH)
-        self.spark.conf.set(BATCH, str(min(ROWS_PER_BATCH, int(before))))
-        try:
-            df.write.option("compression", "zstd").parquet(path)
-        finally:
-            self.spark.conf.set(BATCH, before)
+        began = time.monotonic()
+        df.write.option("compression", "zstd").parquet(path)
+        if time.monotonic() - began > LONG_S:
+            self.release()
         self.paths[tag] = path
         return self.spark.read.schema(df.schema).parquet(path)
 

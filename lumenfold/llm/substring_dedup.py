@@ -34,9 +34,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from .rolling import WORD_BASES, sliding, text_runs, window_hash, words_of
 from .store import Cuts
+from .worker import frugal
 
 LAST = (1 << 63) - 1
 
@@ -52,6 +54,9 @@ def ladder(window: int, least: int = 8) -> list[int]:
 
 def keyed(documents: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
     """(_ord, _tkey, _text, *more): rank by id with null last, and a key that tells apart texts that share an id."""
+    kind = documents.schema[id_col].dataType
+    if not isinstance(kind, IntegralType):
+        raise TypeError(f"{id_col} is {kind.simpleString()}; ids must be whole numbers")
     text = F.coalesce(F.col(text_col), F.lit(""))
     order = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
     return documents.select(order.alias("_ord"), F.xxhash64(text).alias("_tkey"), text.alias("_text"), *more)
@@ -105,7 +110,7 @@ def _representatives(k: int, window: int, previous: int | None) -> Callable[[Ite
                     [pa.array(values.view(np.int64)), pa.array(ords[i:j][doc]), pa.array(tkeys[i:j][doc])], ["_key", "_ord", "_tkey"]
                 )
 
-    return run
+    return frugal(run)
 
 
 def living(units: np.ndarray, at: np.ndarray, doc: np.ndarray, alive: tuple[np.ndarray, np.ndarray], i: int, j: int, k: int, window: int) -> np.ndarray:
@@ -142,7 +147,7 @@ def _windows(window: int, previous: int) -> Callable[[Iterator[pa.RecordBatch]],
                     ["_h1", "_h2", "_ord", "_tkey", "_pos"],
                 )
 
-    return run
+    return frugal(run)
 
 
 def exact_copies(docs: DataFrame) -> DataFrame:
@@ -193,7 +198,7 @@ def _removal(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                 ["_id", "n_words", "n_removed", "removed", "text"],
             )
 
-    return run
+    return frugal(run)
 
 
 def substring_dedup(documents: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from .rolling import BYTE_BASE, U64, byte_hash, byte_prefix, mix, powers, sliding, text_runs
 from .store import Cuts
 from .substring_dedup import exact_copies, keyed, listed, of_documents, owner
+from .worker import frugal
 
 GRAM = 20
 #: Bytes of text worked on at once: arrays of this many 64-bit numbers stay near the caches.
@@ -88,7 +89,7 @@ def _anchor_keys(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
                     ["_key", "_ord", "_tkey", "_many"],
                 )
 
-    return run
+    return frugal(run)
 
 
 def _slices(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -146,7 +147,7 @@ def _slices(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                     SLICE_COLUMNS,
                 )
 
-    return run
+    return frugal(run)
 
 
 def _own_copies(lo: np.ndarray, hi: np.ndarray, doc: np.ndarray, offsets: np.ndarray, ords: np.ndarray, tkeys: np.ndarray) -> pa.RecordBatch:
@@ -289,7 +290,7 @@ def _repeats(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
         if out:
             yield _span_batch(out)
 
-    return run
+    return frugal(run)
 
 
 def _span_batch(out: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
@@ -322,7 +323,7 @@ def _single_windows(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterato
                     ["_h1", "_h2", "_ord", "_tkey", "_pos"],
                 )
 
-    return run
+    return frugal(run)
 
 
 def _removal(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -355,7 +356,7 @@ def _removal(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                 ["_id", "n_bytes", "n_removed", "removed", "kept"],
             )
 
-    return run
+    return frugal(run)
 
 SPANS = "_ord long, _tkey long, _start int, _end int"
 

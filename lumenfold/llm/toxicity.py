@@ -36,7 +36,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import likely_smallest
+from .store import likely_smallest, small_batches
+from .worker import frugal
 
 #: Terminals of the grammar.
 INSULTS = (
@@ -149,12 +150,13 @@ def _match(shared: object) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
                 [*names, *FEATURES, "score"],
             )
 
-    return run
+    return frugal(run)
 
 
 def _matched(rows: DataFrame, names: list[str], grammar: Grammar) -> DataFrame:
     """``names`` of ``rows``, the matches of its _text, and the score."""
     schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in names)
+    small_batches(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(grammar)
     return rows.mapInArrow(_match(shared), ", ".join([*([schema] if names else []), *(f"{f} long" for f in FEATURES), "score double"]))
 

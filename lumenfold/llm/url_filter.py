@@ -26,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import likely_smallest
+from .store import likely_smallest, small_batches
+from .worker import frugal
 
 ALLOW, BLOCK = "allow", "block"
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -216,7 +217,7 @@ def _rule_of(shared: object) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
             found = [rules.match(*split_url(u)[:2]) for u in batch.column("_url").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("_url"), pa.array(found, pa.string())], ["_url", "_rule"])
 
-    return run
+    return frugal(run)
 
 
 def fit_url_model(pages: DataFrame, rules: Rules, sample_urls: int = 20_000, url_col: str = "url") -> UrlModel:
@@ -255,12 +256,13 @@ def _judge(shared: object, threshold: float) -> Callable[[Iterator[pa.RecordBatc
                 ["_id", "host", "path", "rule", "verdict", "score"],
             )
 
-    return run
+    return frugal(run)
 
 
 def judge_urls(pages: DataFrame, rules: Rules, model: UrlModel, threshold: float = 0.5, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """One row per row of ``pages``: id, host, path, rule, verdict and the trees' block score."""
     kind = pages.schema[id_col].dataType.simpleString()
+    small_batches(pages.sparkSession)
     shared = pages.sparkSession.sparkContext.broadcast((rules, model))
     rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"))
     found = rows.mapInArrow(_judge(shared, threshold), f"_id {kind}, host string, path string, rule string, verdict string, score double")

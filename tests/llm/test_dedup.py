@@ -10,9 +10,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lumenfold.llm import order_minhash
 from lumenfold.llm.alignment import edit_distance
 from lumenfold.llm.line_templates import dedup_lines
-from lumenfold.llm.order_minhash import near_duplicates, without_near_duplicates
+from lumenfold.llm.order_minhash import common_words_of, near_duplicates, without_near_duplicates
 from lumenfold.llm.substring_dedup import substring_dedup
 from lumenfold.llm.suffix_dedup import intervals, maximal_repeats, suffix_dedup
 
@@ -250,3 +251,65 @@ def test_copies_elsewhere_do_not_protect_a_notice(spark):
         rows.append((1000 + d, "\n".join([*page, f"changed {chr(97 + d % 26) * (d // 26 + 1)}"])))
     got = {r.doc_id: r.n_dropped for r in dedup_lines(frame(spark, rows)).collect()}
     assert got == {d: 1 for d, _ in rows}
+
+
+def planted_pairs(share, evenly, rng, count=150, n=120):
+    """Pairs of texts of which the second has ``share`` of its words replaced."""
+    rows = []
+    for d in range(count):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        other = list(words)
+        edits = round(share * n)
+        for k, i in enumerate([round((k + 0.5) * n / edits) for k in range(edits)] if evenly else rng.sample(range(n), edits)):
+            other[min(i, n - 1)] = f"e{d}x{k}"
+        rows += [(2 * d, " ".join(words)), (2 * d + 1, " ".join(other))]
+    return rows
+
+
+@pytest.mark.parametrize("evenly", [True, False])
+def test_recall_of_planted_pairs(spark, evenly):
+    rng = random.Random(21)
+    shares, rows = [0.1, 0.125, 1 / 6, 0.2], []
+    for k, share in enumerate(shares):
+        rows += [(10_000 * k + d, t) for d, t in planted_pairs(share, evenly, rng)]
+    got = {r.doc_id: r.class_id for r in near_duplicates(frame(spark, rows)).collect()}
+    for k, least in enumerate([150, 150, 145, 135]):
+        own = range(10_000 * k, 10_000 * k + 300, 2)
+        assert sum(got[d] == got[d + 1] for d in own) >= least, shares[k]
+    assert len(set(got.values())) >= 600
+
+
+def test_common_words_of():
+    rng = np.random.default_rng(3)
+    left, right = ([np.unique(rng.integers(0, 9000, rng.integers(0, 6000))).astype(np.uint32) for _ in range(k)] for k in (5, 7))
+    assert (common_words_of(left, right) == [[len(np.intersect1d(a, b)) for b in right] for a in left]).all()
+    assert common_words_of([], []).shape == (0, 0)
+
+
+@pytest.mark.parametrize("block", [8, 256])
+def test_near_duplicates_in_blocks(spark, block, monkeypatch):
+    """Texts that are mostly one passage stay crowded to the end; each link between them is found."""
+    monkeypatch.setattr(order_minhash, "BLOCK", block)
+    rng = random.Random(22)
+    passage, rows, want = [f"p{k}" for k in range(78)], [], {}
+    for d in range(60):
+        own = [f"u{d}x{k}" for k in range(22)]
+        rows += [(d, " ".join(passage + own)), (1000 + d, " ".join(changed(passage + own, 0.18, rng, f"e{d}x", 78 if d % 2 else 0)))]
+        want |= {d: d, 1000 + d: d}
+    for d in range(300):  # near copies of one page that holds the passage, too
+        rows.append((2000 + d, " ".join(changed(passage + [f"page{k}" for k in range(300)], 0.03, rng, f"m{d}x", 78))))
+        want[2000 + d] = 2000
+    assert {r.doc_id: r.class_id for r in near_duplicates(frame(spark, rows)).collect()} == want
+
+
+@pytest.mark.parametrize("operator", [substring_dedup, suffix_dedup, near_duplicates, dedup_lines])
+def test_ids_that_are_no_numbers_are_refused(spark, operator):
+    with pytest.raises(TypeError):
+        operator(spark.createDataFrame([("a", "text")], "doc_id string, text string"))
+
+
+def test_near_duplicates_of_very_long_texts(spark):
+    rng = random.Random(23)
+    long = [f"w{rng.randrange(10**6)}" for _ in range(30_000)]
+    rows = [(1, " ".join(long)), (2, " ".join(changed(long, 0.1, rng, "e"))), (3, " ".join(long[:20_000]))]
+    assert {r.doc_id: r.class_id for r in near_duplicates(frame(spark, rows)).collect()} == {1: 1, 2: 1, 3: 3}
