@@ -7,9 +7,10 @@ found by a rolling hash, verified word by word, and either its span or its docum
 is removed.
 
 The window set is broadcast in blocks of items of at most ``block_bytes`` of text
-each, so what any executor holds is bounded however large the benchmark grows; a
-further block costs a further scan of the documents, and the scans' findings are
-merged per document.
+each, an index of some tens of bytes a word and window, so what any executor holds is
+bounded however large the benchmark grows; a further block costs a further scan of the
+documents, one index is broadcast at a time, and the scans' findings are merged per
+document.
 
 Defined cases: null text or an item without words never matches; items may share
 windows and ids; a null item id is reported as ``null``; a null document id is kept
@@ -22,6 +23,7 @@ import math
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -133,15 +135,15 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.set_column(at, "hits", pa.array([merged(x) for x in batch.column(at).to_pylist()], SPAN))
 
 
-def index_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
-    """The benchmark's items in blocks of about ``block_bytes``; an item never splits."""
+def index_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[tuple[int, list[tuple[str, str]]]]:
+    """How many blocks of about ``block_bytes`` the benchmark makes, and each one's items; an item never splits."""
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("_item"), F.col(text_col).alias("_words"))
     items = items.where("_words IS NOT NULL")
     total = items.agg(F.sum(F.octet_length("_words"))).first()[0] or 0
     n = max(1, math.ceil(total / block_bytes))
     for b in range(n):
         block = items.where(F.pmod(F.xxhash64("_item", "_words"), F.lit(n)) == b) if n > 1 else items
-        yield [(r[0], r[1]) for r in block.collect()]
+        yield n, [(r[0], r[1]) for r in block.collect()]
 
 
 SCANNED = "n_words long, hits array<struct<start:long,length:long>>, items array<string>"
@@ -151,7 +153,7 @@ def find_contamination(
     documents: DataFrame,
     benchmark: DataFrame,
     n: int = 10,
-    block_bytes: int = 16 << 20,
+    block_bytes: int = 4 << 20,
     id_col: str = "doc_id",
     text_col: str = "text",
     item_col: str = "item_id",
@@ -162,13 +164,17 @@ def find_contamination(
     small_batches(spark)
     kind = documents.schema[id_col].dataType.simpleString()
     docs = keyed(documents, id_col, text_col, F.col(id_col).alias("_id"))
-    blocks = list(index_blocks(benchmark, item_col, item_text_col, block_bytes))
-    shared = [spark.sparkContext.broadcast(build_index(b, n)) for b in blocks]
-    if len(shared) == 1:
-        return docs.select("_id", "_text").mapInArrow(_scan(shared[0]), f"_id {kind}, {SCANNED}").withColumnRenamed("_id", id_col)
+    blocks = index_blocks(benchmark, item_col, item_text_col, block_bytes)
+    count, first = next(blocks)
+    if count == 1:
+        shared = spark.sparkContext.broadcast(build_index(first, n))
+        return docs.select("_id", "_text").mapInArrow(_scan(shared), f"_id {kind}, {SCANNED}").withColumnRenamed("_id", id_col)
     cuts = Cuts(spark, "leaks")
-    head = "_ord long, _tkey long"
-    scans = [cuts.put(f"block{k}", docs.select("_ord", "_tkey", "_text").distinct().mapInArrow(_scan(s), f"{head}, {SCANNED}")) for k, s in enumerate(shared)]
+    head, scans = "_ord long, _tkey long", []
+    for k, block in enumerate(chain([first], (block for _, block in blocks))):  # one index is held at a time
+        shared = spark.sparkContext.broadcast(build_index(block, n))
+        scans.append(cuts.put(f"block{k}", docs.select("_ord", "_tkey", "_text").distinct().mapInArrow(_scan(shared), f"{head}, {SCANNED}")))
+        shared.destroy()
     together = reduce(DataFrame.unionByName, scans).groupBy("_ord", "_tkey")
     found = together.agg(
         F.max("n_words").alias("n_words"), F.flatten(F.collect_list("hits")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
@@ -204,7 +210,7 @@ def decontaminate(
     benchmark: DataFrame,
     n: int = 10,
     remove: str = "documents",
-    block_bytes: int = 16 << 20,
+    block_bytes: int = 4 << 20,
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
@@ -224,7 +230,7 @@ def decontaminate(
     rows = documents.toDF(*names)
     at = names[documents.columns.index(text_col)]
     schema = ", ".join(f"{c} {t}" for c, t in zip(names, types, strict=True))
-    for block in index_blocks(benchmark, item_col, item_text_col, block_bytes):
+    for _, block in index_blocks(benchmark, item_col, item_text_col, block_bytes):
         shared = spark.sparkContext.broadcast(build_index(block, n))
         found = rows.withColumn("_text", F.coalesce(F.col(at), F.lit(""))).mapInArrow(_scan(shared, keep_text=True), f"{schema}, _text string, {SCANNED}")
         if remove == "documents":
