@@ -16,7 +16,8 @@ from lumenfold.llm.decontaminate import decontaminate, find_contamination, n_hit
 from lumenfold.llm.langid import Classifier, identify_language, learn_dictionaries
 from lumenfold.llm.packing import WordEncoder, pack, plan
 from lumenfold.llm.quality import quality_verdicts
-from lumenfold.llm.toxicity import FEATURES, Grammar, fit, match_clauses
+from lumenfold.llm.queries import queries
+from lumenfold.llm.toxicity import FEATURES, Grammar, clause_machine, fit, match_clauses, matching, negation, reported_speech, training_sample
 from lumenfold.llm.url_filter import BoostedTrees, Rules, fit_url_model, judge_urls, split_url
 
 SCHEMA = "doc_id long, text string, lang string, source string, _text string, n_words int"
@@ -116,6 +117,53 @@ def test_grammar_constructions():
     assert grammar.score(grammar.matches("You idiot. You moron.")) > 0.5 > grammar.score(grammar.matches("not an idiot"))
 
 
+def all_paths(machine, labels, state=0):
+    """(weight, outputs) of every accepting path."""
+    if not labels:
+        return [(0.0, ())] if machine.final[state] else []
+    return [(w + v, (out, *outs)) for to, out, w in machine.arcs[state].get(labels[0], ()) for v, outs in all_paths(machine, labels[1:], to)]
+
+
+def test_best_paths_equal_enumeration():
+    rng, machine = random.Random(9), clause_machine()
+    for _ in range(150):
+        labels = tuple(rng.choice(range(7)) for _ in range(rng.randint(0, 8)))
+        weight, counts = machine.best(labels, len(FEATURES))
+        paths = all_paths(machine, labels)
+        most = max(w for w, _ in paths)
+        assert abs(weight - most) < 1e-9
+        assert counts in {tuple(outs.count(k) for k in range(len(FEATURES))) for w, outs in paths if abs(w - most) < 1e-9}
+
+
+def test_composition_reads_what_the_first_writes():
+    rng = random.Random(10)
+    parts = (negation(), reported_speech(), matching())
+    for _ in range(100):
+        labels = tuple(rng.choice(range(7)) for _ in range(rng.randint(0, 6)))
+        step = labels
+        for part in parts[:2]:
+            ((_, step),) = all_paths(part, step)  # these two are deterministic
+        assert sorted(all_paths(clause_machine(), labels)) == sorted(all_paths(parts[2], step))
+
+
+def test_toxicity_of_long_and_odd_texts(spark):
+    grammar = Grammar()
+    plain = "word " * 60_000
+    assert list(grammar.matches(plain + "you idiot")) == [0, 1, 0, 0, 0]
+    assert grammar.score(grammar.matches("you idiot. " * 3)) == grammar.score(grammar.matches("you idiot. " * 400))
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, None), (None, 1), (3, 0)], "doc_id long, toxic int")
+    docs = frame(spark, [(1, "a"), (2, "b"), (None, "c"), (3, "d"), (3, "d")])
+    assert sorted(tuple(r) for r in training_sample(docs, labels).collect()) == [("a", 1), ("d", 0), ("d", 0)]
+
+
+def test_toxicity_on_held_out_labels(spark):
+    """No clean document is hit, and most toxic ones are found: one in five holds no term at all."""
+    found = queries()["op5_toxicity"](spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id")
+    rows = found.select("toxic", "predicted").collect()
+    toxic = [r.predicted for r in rows if r.toxic]
+    assert sum(toxic) >= 0.55 * len(toxic) and not any(r.predicted for r in rows if r.toxic == 0)
+
+
 def test_toxicity_learns(spark):
     rng = random.Random(5)
     word = lambda: f"w{'abcdefghij'[rng.randrange(10)]}{'klmnopqrst'[rng.randrange(10)]}"
