@@ -85,7 +85,7 @@ def average_precision(hits: DataFrame, keys: list[str], score: str, ident: str,
     """AP at 101 recall points: cumulative counts by falling score, precision made monotone from the right."""
     w = Window.partitionBy(*keys).orderBy(F.desc(score), ident)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    onward = w.rowsBetween(0, Window.unboundedFollowing)
+    onward = Window.partitionBy(*keys).orderBy(F.asc(score), F.desc(ident)).rowsBetween(Window.unboundedPreceding, 0)  # a running maximum from the end
     rows = hits.withColumns({"_tp": F.sum(F.col(hit).cast("long")).over(upto), "_n": F.row_number().over(w)}).join(positives, keys)
     rows = rows.withColumns({"_r": F.col("_tp") / F.col("n_pos"), "_p": F.col("_tp") / F.col("_n")})
     rows = rows.withColumn("_e", F.max("_p").over(onward))

@@ -2,20 +2,36 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: Poses that one pass over the points carries as literals.
+POSES = 64
+
+
 def project(points: DataFrame, cameras: DataFrame, keep: list[str]) -> DataFrame:
     """Camera coordinates xc, yc, zc > 0 of every point in every camera.
 
-    ``cameras`` has ``image`` and the inverse pose as 12 numbers in ``inv``; it is a
-    rig's few dozen rows, which is what makes broadcasting it safe.
+    ``cameras`` has ``image`` and the inverse pose as 12 numbers in ``inv``.  Each pass
+    over the points makes a point's coordinates in ``POSES`` cameras once, in a
+    generator, behind which filters stay; more cameras take more passes.
     """
-    both = points.crossJoin(F.broadcast(cameras))  # point x camera is the operator's output
-    row = lambda r: sum((F.col("inv")[4 * r + k] * F.col(c) for k, c in enumerate("xyz")), F.col("inv")[4 * r + 3])
-    return both.select(*keep, "image", row(0).alias("xc"), row(1).alias("yc"), row(2).alias("zc")).where("zc > 0")
+    kind = cameras.schema["image"].dataType
+    poses = [tuple(r) for r in cameras.select("image", "inv").collect()]  # a rig: one row per image
+
+    def seen(image: object, inv: list[float]) -> Column:
+        row = lambda r: sum((F.lit(inv[4 * r + k]) * F.col(c) for k, c in enumerate("xyz")), F.lit(inv[4 * r + 3]))
+        return F.struct(F.lit(image).cast(kind).alias("image"), row(0).alias("xc"), row(1).alias("yc"), row(2).alias("zc"))
+
+    passes = []
+    for at in range(0, max(1, len(poses)), POSES):
+        rows = F.array(*(seen(*p) for p in poses[at : at + POSES])) if poses else F.array(seen(None, [0.0] * 12))
+        passes.append(points.select(*keep, F.inline(rows)).where("zc > 0"))
+    return reduce(DataFrame.unionByName, passes)
 
 
 def focal(width: float, fov_degrees: float) -> float:
@@ -44,8 +60,8 @@ def z_buffer(pixels: DataFrame, keys: list[str], depth: str, ident: str) -> Data
 
 def depth_band(pixels: DataFrame, keys: list[str], depth: str, band: float) -> DataFrame:
     """All points of a pixel whose squared distance is less than ``band`` beyond the nearest's."""
-    nearest = pixels.groupBy(*keys).agg(F.min(depth).alias("_near"))
-    return pixels.join(nearest, keys).where(F.col(depth) - F.col("_near") < band).drop("_near")
+    near = F.min(depth).over(Window.partitionBy(*keys))  # one pass: the pixels are not made twice
+    return pixels.withColumn("_near", near).where(F.col(depth) - F.col("_near") < band).drop("_near")
 
 
 def splat_radius(depth: Column, scale: float, least: float, most: float) -> Column:
