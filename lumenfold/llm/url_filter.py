@@ -4,19 +4,23 @@ Rules (``host/path prefix``) allow or block.  The URLs that they decide are the
 labelled ones: a bounded, deterministic sample of them (``sample_urls`` distinct URLs
 of smallest hash) trains the trees, which judge what no rule fits.  Features are
 lexical: lengths, depth, digit ratio, entropy, parameter counts, and smoothed block
-rates and frequencies of host suffixes and leading path segments.
+rates and frequencies of host suffixes and leading path segments, out of fold.  In a
+second copy of the sample some suffixes count as unknown, so the trees learn to judge a
+suffix that no rule has decided by the form of the URL.
 
 Judging is one map over the pages with rules and trees broadcast (a few hundred
 nodes).  Only the URL column is read.
 
 Defined cases: a null URL or one without ``://`` has empty host and path, fits no rule
-and is judged by its features like any other; with no labelled URL of either kind
-the model is the constant prior and allows; equal rule lengths go to the longer host.
+and is judged by its features like any other; where the labelled URLs are not of both
+kinds there is nothing to learn from, and what no rule fits is allowed; rules of equal
+length cannot both fit a URL unless they are the same.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -82,7 +86,6 @@ class Lexicon:
 
     prior: float = 0.5
     seen: dict[tuple[int, str], tuple[int, int]] = field(default_factory=dict)
-    total: int = 0
 
     @classmethod
     def learn(cls, parts: list[tuple[str, str]], blocked: np.ndarray) -> Lexicon:
@@ -93,9 +96,10 @@ class Lexicon:
                 own[0] += 1
                 own[1] += int(b)
         prior = float(blocked.mean()) if len(blocked) else 0.5
-        return cls(prior, {k: (a, b) for k, (a, b) in seen.items()}, len(parts))
+        return cls(prior, {k: (a, b) for k, (a, b) in seen.items()})
 
-    def features(self, url: str | None) -> list[float]:
+    def features(self, url: str | None, unknown: tuple[bool, ...] = (False,) * 3) -> list[float]:
+        """Of a URL, whose suffixes marked in ``unknown`` are treated as never seen."""
         url = url or ""
         host, path, rest = split_url(url)
         n = len(url)
@@ -103,14 +107,33 @@ class Lexicon:
             n, len(host), len(path), path.count("/"), host.count("."), host.count("-"), entropy(host), entropy(url),
             sum(c.isdigit() for c in url) / n if n else 0.0, sum(c.isdigit() for c in path), url.count("%"), url.count("_") + path.count("-"),
             (rest.count("&") + 1 if "?" in rest else 0), rest.count("="), float("#" in rest), float(url[:5] == "https"),
-            float("." in path.rsplit("/", 1)[-1]), float(path.endswith("/")), max((len(x) for x in host.split(".")), default=0),
+            float("." in path.rsplit("/", 1)[-1]), float(path.endswith("/")), max((len(x) for x in host.split(".")), default=0), float(host.startswith("www.")),
         ]
-        for kind, s in enumerate(suffixes(host, path)):
-            rows, bad = self.seen.get((kind, s), (0, 0))
+        for hidden, (kind, s) in zip(unknown, enumerate(suffixes(host, path)), strict=True):
+            rows, bad = (0, 0) if hidden else self.seen.get((kind, s), (0, 0))
             out += [(bad + 10 * self.prior) / (rows + 10), math.log1p(rows)]
         return [float(x) for x in out]
 
 
+#: Parts of the sample; a URL's suffix rates come from the other parts.
+FOLDS = 5
+
+
+def training_features(urls: list[str], blocked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels: each URL with the suffix rates of other folds, once as they are and once with some of its suffixes hidden.
+
+    A model that always knew the suffixes would learn nothing about those it has never seen.
+    """
+    parts = [split_url(u)[:2] for u in urls]
+    draw = np.array([zlib.crc32(u.encode("utf-8", "surrogatepass")) for u in urls])
+    fold = draw % FOLDS
+    lexicons = [Lexicon.learn([p for p, own in zip(parts, fold, strict=True) if own != f], blocked[fold != f]) for f in range(FOLDS)]
+    hidden = [tuple(bool(d >> (8 + 3 * k) & 1) for k in range(3)) for d in draw]
+    known = [lexicons[f].features(u) for u, f in zip(urls, fold, strict=True)]
+    masked = [lexicons[f].features(u, h) for u, f, h in zip(urls, fold, hidden, strict=True)]
+    return np.array(known + masked), np.concatenate([blocked, blocked])
+
+
 @dataclass
 class Tree:
     """A depth-first array tree: feature < 0 marks a leaf."""
@@ -227,12 +250,11 @@ def fit_url_model(pages: DataFrame, rules: Rules, sample_urls: int = 20_000, url
     near = likely_smallest(urls, "_url", sample_urls)
     decided = near.mapInArrow(_rule_of(shared), "_url string, _rule string").where("_rule IS NOT NULL").distinct()
     sample = decided.orderBy(F.pmod(F.xxhash64("_url"), F.lit(1 << 30)), "_url").limit(sample_urls).collect()
-    parts = [split_url(u)[:2] for u, _ in sample]
+    urls = [u for u, _ in sample]
     blocked = np.array([rules.verdicts[r] == BLOCK for _, r in sample], dtype=np.float64)
-    lexicon = Lexicon.learn(parts, blocked)
-    if not sample:
-        return UrlModel(lexicon, BoostedTrees().fit(np.zeros((0, 0)), blocked))
-    return UrlModel(lexicon, BoostedTrees().fit(np.array([lexicon.features(u) for u, _ in sample]), blocked))
+    if not sample or blocked.min() == blocked.max():
+        return UrlModel(Lexicon(), BoostedTrees().fit(np.zeros((0, 0)), np.zeros(0)))
+    return UrlModel(Lexicon.learn([split_url(u)[:2] for u in urls], blocked), BoostedTrees().fit(*training_features(urls, blocked)))
 
 
 def _judge(shared: object, threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
