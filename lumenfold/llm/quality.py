@@ -30,6 +30,8 @@ SPACE = "[\\x20\\x09-\\x0D]+"
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 RUN = 8
+#: Added to a text's lines, so that one repeated line in a short text is a small rate.
+FEW_LINES = 5
 MEASURES = ("mean_word", "symbol_rate", "dup_line_rate")
 
 
@@ -94,7 +96,7 @@ def _measures() -> dict[str, Column]:
     return {
         "mean_word": F.try_divide("word_chars", "n_words"),
         "symbol_rate": F.try_divide("n_symbols", "word_chars"),
-        "dup_line_rate": F.try_divide("n_dup_lines", "_lines"),
+        "dup_line_rate": F.col("n_dup_lines") / (F.col("_lines") + FEW_LINES),
     }
 
 
@@ -134,7 +136,7 @@ def quality_verdicts(
     source_col: str = "source",
 ) -> DataFrame:
     """id, the base measures, base_failed and kept, one row per row of ``documents``."""
-    slack = slack or {"mean_word": 1.0, "symbol_rate": 0.02, "dup_line_rate": 0.5}
+    slack = slack or {"mean_word": 1.0, "symbol_rate": 0.02, "dup_line_rate": 0.2}
     rows = documents.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang_of"), F.col(source_col).alias("_source_of"), F.col(text_col).alias("_text_of"))
     measured = Cuts(documents.sparkSession, "quality").put("measured", base_measures(rows, "_text_of"))
     limits = adaptive_limits(measured, ("_lang_of", "_source_of"), low, high, spread, slack, least_rows, k)
