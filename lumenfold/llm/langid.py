@@ -40,22 +40,20 @@ def learn_dictionaries(
     text_col: str = "text",
     sample_docs: int = 400,
     dictionary_bytes: int = 128 << 10,
-    max_languages: int = 400,
+    total_bytes: int = 64 << 20,
 ) -> dict[str, bytes]:
-    """Raw-content dictionaries by language; the ``max_languages`` most frequent ones.
-
-    The bounds keep the driver's sample under ``max_languages * dictionary_bytes``.
-    """
+    """Raw-content dictionaries by language, of ``dictionary_bytes`` or, for very many languages, an equal share of ``total_bytes``."""
     rows = labelled.select(F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).alias("_text")).where("_lang IS NOT NULL AND length(_text) > 0")
-    counts = labelled.groupBy(F.col(lang_col).cast("string").alias("_lang")).agg(F.count(F.lit(1)).alias("_n")).where("_lang IS NOT NULL")
-    counts = counts.orderBy(F.desc("_n"), "_lang").limit(max_languages)
     # copies and empty texts are no documents to choose from
-    counts = counts.join(rows.groupBy("_lang").agg(F.approx_count_distinct("_text").alias("_texts")), "_lang")
+    counts = rows.groupBy("_lang").agg(F.approx_count_distinct("_text").alias("_texts"))
+    languages = counts.count()
+    dictionary_bytes = max(1, min(dictionary_bytes, total_bytes // max(1, languages)))
+    sample_docs = min(sample_docs, dictionary_bytes)
     share = max(1, dictionary_bytes // sample_docs)
     # a document gives a stretch from its middle, so that one long text cannot fill the dictionary
     stretch = F.substring("_text", 1 + F.greatest(F.lit(0), (F.length("_text") - 4 * share) / 2).cast("int"), F.lit(4 * share))
     # by hash, about four times as many documents as wanted are looked at; copies of a text count once
-    hashed = rows.withColumn("_h", F.xxhash64("_text")).join(F.broadcast(counts), "_lang")
+    hashed = rows.withColumn("_h", F.xxhash64("_text")).join(counts, "_lang")
     near = hashed.where(F.pmod("_h", F.lit(1 << 30)).cast("double") * F.col("_texts") < 4.0 * sample_docs * (1 << 30))
     texts = near.groupBy("_lang", "_h").agg(F.min(stretch).alias("_part"))
     chosen = Window.partitionBy("_lang").orderBy("_h")
