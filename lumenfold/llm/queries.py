@@ -155,7 +155,7 @@ WITH d AS (
   FROM d LEFT JOIN rep USING (doc_id)
 ), v AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-         word_chars / nullif(n_words, 0)::DOUBLE AS a, n_symbols / nullif(word_chars, 0)::DOUBLE AS b, n_dup_lines / nullif(lines, 0)::DOUBLE AS c FROM m
+         word_chars / nullif(n_words, 0)::DOUBLE AS a, n_symbols / nullif(word_chars, 0)::DOUBLE AS b, n_dup_lines / (lines + 5)::DOUBLE AS c FROM m
 ), s AS (
   SELECT lang, source, count(*) AS n, list_sort(list(a)) AS a, list_sort(list(b)) AS b, list_sort(list(c)) AS c FROM v WHERE NOT base_failed GROUP BY lang, source
 ), g AS (
@@ -170,7 +170,7 @@ WITH d AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND coalesce(a >= a1 - (3.0::DOUBLE * (a3 - a1) + 1.0::DOUBLE) AND a <= a3 + (3.0::DOUBLE * (a3 - a1) + 1.0::DOUBLE)
          AND b >= b1 - (3.0::DOUBLE * (b3 - b1) + 0.02::DOUBLE) AND b <= b3 + (3.0::DOUBLE * (b3 - b1) + 0.02::DOUBLE)
-         AND c >= c1 - (3.0::DOUBLE * (c3 - c1) + 0.5::DOUBLE) AND c <= c3 + (3.0::DOUBLE * (c3 - c1) + 0.5::DOUBLE), false) AS kept
+         AND c >= c1 - (3.0::DOUBLE * (c3 - c1) + 0.2::DOUBLE) AND c <= c3 + (3.0::DOUBLE * (c3 - c1) + 0.2::DOUBLE), false) AS kept
 FROM v LEFT JOIN q ON v.lang IS NOT DISTINCT FROM q.lang AND v.source IS NOT DISTINCT FROM q.source
 """
 
@@ -190,11 +190,8 @@ f AS (
 ), l1 AS (
   SELECT doc_id, tkey, pos, s, CASE WHEN 2 * len(regexp_extract_all(form, '<\*>')) <= len(string_split(form, ' ')) THEN form ELSE flat END AS line FROM f
 ), l AS (SELECT *, md5(line) AS id, string_split(line, ' ') AS w FROM l1 WHERE line <> ''),
-two AS (SELECT doc_id, list_sort(list(DISTINCT id)) AS ids FROM l GROUP BY doc_id),
-n AS (
-  SELECT l.*, CASE WHEN ids[1] <> id THEN ids[1] ELSE coalesce(ids[2], id) END AS sig, len(w) || '|' || array_to_string(w[1:3], ' ') AS leaf
-  FROM l JOIN two USING (doc_id)
-), leaves AS (SELECT leaf FROM n GROUP BY leaf HAVING count(*) >= 10 AND min(id) < max(id)),
+n AS (SELECT *, len(w) || '|' || array_to_string(w[1:3], ' ') AS leaf FROM l),
+leaves AS (SELECT leaf FROM n GROUP BY leaf HAVING count(*) >= 10 AND min(id) < max(id)),
 forms AS (SELECT leaf, id, w, count(*) AS c FROM n JOIN leaves USING (leaf) GROUP BY leaf, id, w),
 votes AS (SELECT leaf, p, x, sum(c) AS v FROM (SELECT leaf, c, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM forms) GROUP BY leaf, p, x),
 top AS (
@@ -204,10 +201,16 @@ top AS (
 temp AS (
   SELECT id, md5(array_to_string(k, ' ')) AS t FROM forms JOIN cons USING (leaf)
   WHERE len(list_filter(range(1, len(w) + 1), lambda i: w[i] = k[i] AND w[i] <> '<*>')) >= 0.6 * len(k)
-), known AS (SELECT doc_id, tkey, pos, sig, coalesce(t, n.id) AS t FROM n LEFT JOIN temp ON n.id = temp.id),
-often AS (
-  SELECT t FROM (SELECT t, sig, count(DISTINCT tkey) AS texts FROM known GROUP BY t, sig) GROUP BY t HAVING count(*) >= 10 AND 2 * count(*) >= sum(texts)
-), gone AS (SELECT DISTINCT doc_id, pos FROM known JOIN often USING (t)),
+), known AS (SELECT doc_id, tkey, pos, coalesce(t, n.id) AS t FROM n LEFT JOIN temp ON n.id = temp.id),
+held AS (SELECT DISTINCT tkey, t FROM known),
+told AS (SELECT tkey, t, count(*) OVER (PARTITION BY t) >= 10 AS common FROM held),
+around AS (
+  SELECT tkey, count(*) AS n, count(*) FILTER (NOT common) AS few, min(t) FILTER (NOT common) AS own, min(t) FILTER (common) AS lo, max(t) FILTER (common) AS hi
+  FROM told GROUP BY tkey
+), sigs AS (
+  SELECT DISTINCT t, CASE WHEN few > 0 AND 5 * few >= n THEN own WHEN t <> lo THEN lo ELSE hi END AS sig FROM told JOIN around USING (tkey) WHERE common
+), often AS (SELECT t FROM sigs GROUP BY t HAVING count(*) >= 10),
+gone AS (SELECT DISTINCT doc_id, pos FROM known JOIN often USING (t)),
 kept AS (
   SELECT l0.doc_id, string_agg(s, chr(10) ORDER BY l0.pos) AS text FROM l0 ANTI JOIN gone ON l0.doc_id = gone.doc_id AND l0.pos = gone.pos GROUP BY l0.doc_id
 ), lost AS (SELECT doc_id, count(*) AS c FROM gone GROUP BY doc_id)

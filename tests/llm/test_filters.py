@@ -210,11 +210,13 @@ def test_url_filter(spark):
     rules = Rules({"good.org/": "allow", "bad.biz/": "block"})
     rows = [(k, f"http://n{k}.{'good.org' if k % 2 else 'bad.biz'}/p{k}/{'x' * (k % 2)}") for k in range(300)]
     rows += [(900, None), (901, ""), (902, "http://other.biz/p1/"), (903, "http://other.org/p1/x"), (3, rows[3][1])]
+    rows += [(904, "http://n7.other.net/p7/x"), (905, "http://n8.other.net/p8/"), (906, "http://n8.bad.biz/" + "y" * 200_000)]
     pages = spark.createDataFrame([(*r, "h") for r in rows], "page_id long, url string, score string")
     found = judge_urls(pages, rules, fit_url_model(pages, rules)).collect()
     got = {r.page_id: r for r in found}
     assert len(found) == len(rows) and got[1].verdict == "allow" and got[2].verdict == "block"
     assert got[902].rule is None and got[902].verdict == "block" and got[903].verdict == "allow"
+    assert got[904].verdict == "allow" and got[905].verdict == "block"  # an unknown suffix is judged by its form
     none = fit_url_model(pages.limit(0), rules)
     assert judge_urls(pages.limit(0), rules, none).count() == 0 and none.score([None])[0] < 0.5
 
@@ -245,6 +247,23 @@ def test_quality(spark):
     assert quality_verdicts(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_quality_of_repeated_lines_and_small_groups(spark):
+    rng = random.Random(8)
+    line = lambda: " ".join(rng.choice("abcdefgh") * rng.randint(2, 6) + str(rng.randrange(500)) for _ in range(10))
+    rows = [(k, "\n".join(line() for _ in range(8)), "en", "s" if k < 80 else "small", "x", 1) for k in range(90)]
+    once = line()
+    some = "\n".join(x for _ in range(6) for x in (line(), "often"))
+    rows += [
+        (100, "\n".join([once, *(line() for _ in range(7)), once]), "en", "s", "x", 1),
+        (101, some, "en", "s", "x", 1),
+        (102, some, "en", "small", "x", 1),  # judged by its language's limits
+        (103, "\n".join(line() for _ in range(8)), None, None, "x", 1),
+    ]
+    got = {r.doc_id: r for r in quality_verdicts(spark.createDataFrame(rows, SCHEMA), k=8).collect()}
+    assert [k for k in [*range(90), 100, 103] if not got[k].kept] == []
+    assert not any(got[k].base_failed for k in (100, 101, 102)) and not got[101].kept and not got[102].kept
+
+
 @pytest.mark.parametrize(
     ("text", "want"),
     [
