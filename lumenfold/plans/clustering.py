@@ -10,13 +10,13 @@ from lumenfold.operators import spatial as S
 
 from .registry import query, table
 
-_EDGES = "SELECT DISTINCT o_custkey AS a, (o_custkey * 7 + o_orderkey % 3) % 1500 + 1 AS b FROM orders WHERE o_orderkey % 37 = 0"
+_EDGES = "SELECT o_custkey AS a, o_custkey // 10 * 10 + min(o_orderkey) % 12 AS b FROM orders GROUP BY o_custkey"
 _LABELS = """both_ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e), reach(node, seen) AS (SELECT a, a FROM both_ways UNION SELECT r.node, b FROM reach r JOIN both_ways ON r.seen = a)"""
 
 
 def _edges(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "orders", "o_orderkey", "o_custkey").where("o_orderkey % 37 = 0")
-    return rows.selectExpr("o_custkey AS a", "(o_custkey * 7 + o_orderkey % 3) % 1500 + 1 AS b").distinct()
+    rows = table(spark, d, "orders", "o_orderkey", "o_custkey")
+    return rows.groupBy(F.col("o_custkey").alias("a")).agg(F.min("o_orderkey").alias("_o")).selectExpr("a", "a div 10 * 10 + _o % 12 AS b")
 
 
 @query("a1_components", f"WITH RECURSIVE e AS ({_EDGES}), {_LABELS} SELECT node, min(seen) AS root FROM reach GROUP BY 1")
@@ -27,12 +27,12 @@ def a1(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "g8_merge_junctions",
     f"""WITH RECURSIVE e AS ({_EDGES}), {_LABELS}, r AS (SELECT node, min(seen) AS root FROM reach GROUP BY 1)
-    SELECT root, count(*) AS n_nodes, round(avg(c_acctbal), 4) AS position FROM r JOIN customer ON node = c_custkey GROUP BY 1""",
+    SELECT root, count(*) AS n_nodes, round(avg(c_acctbal), 6) AS position FROM r JOIN customer ON node = c_custkey GROUP BY 1""",
 )
 def g8(spark: SparkSession, d: str) -> DataFrame:
     """Near junctions as one, at their mean position."""
     merged = S.components(_edges(spark, d)).join(table(spark, d, "customer", "c_custkey", "c_acctbal"), F.expr("node = c_custkey"))
-    return merged.groupBy("root").agg(F.count(F.lit(1)).alias("n_nodes"), F.round(F.avg("c_acctbal"), 4).alias("position"))
+    return merged.groupBy("root").agg(F.count(F.lit(1)).alias("n_nodes"), F.round(F.avg("c_acctbal"), 6).alias("position"))
 
 
 _PTS = "SELECT s_suppkey AS id, s_acctbal / 200 AS x, s_nationkey * 1.0 AS y FROM supplier"
@@ -59,12 +59,14 @@ def a7_order(spark: SparkSession, d: str) -> DataFrame:
     return S.ranked_clusters(S.dbscan(_points(spark, d), ["x", "y"], "id", 3.0, 4), "id")
 
 
-_PIX = "SELECT DISTINCT (l_partkey % 60)::INT AS x, (l_suppkey % 60)::INT AS y FROM lineitem WHERE (l_orderkey * 31 + l_linenumber) % 97 = 0"
+_PIX = "SELECT (l_partkey % 60)::INT AS x, (l_suppkey % 60)::INT AS y FROM lineitem GROUP BY 1, 2 HAVING sum(round(l_discount * 100)::BIGINT) * 10 > 56 * count(*)"
 
 
 def _mask(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "lineitem", "l_partkey", "l_suppkey", "l_orderkey", "l_linenumber").where("(l_orderkey * 31 + l_linenumber) % 97 = 0")
-    return rows.selectExpr("CAST(l_partkey % 60 AS INT) AS x", "CAST(l_suppkey % 60 AS INT) AS y").distinct()
+    rows = table(spark, d, "lineitem", "l_partkey", "l_suppkey", "l_discount")
+    cells = rows.groupBy((F.col("l_partkey") % 60).cast("int").alias("x"), (F.col("l_suppkey") % 60).cast("int").alias("y"))
+    found = cells.agg(F.sum(F.round(F.col("l_discount") * 100).cast("long")).alias("_sum"), F.count(F.lit(1)).alias("_n"))
+    return found.where("_sum * 10 > 56 * _n").select("x", "y")
 
 
 def neighbours(mask: DataFrame) -> DataFrame:

@@ -151,7 +151,7 @@ def e16(spark: SparkSession, d: str) -> DataFrame:
 @query("e17_hota")
 def e17(spark: SparkSession, d: str) -> DataFrame:
     """Customers' events as tracks: odd and even event ids are the two sides."""
-    rows = table(spark, d, "events", "event_id", "user_id", "event_type", "value").where("user_id < 40")
+    rows = table(spark, d, "events", "event_id", "user_id", "event_type", "value")
     tracks = rows.select(F.col("event_type").alias("seq"), (F.col("event_id") % 10).alias("t"), (F.col("user_id") % 7).alias("gt"), (F.col("event_id") % 6).alias("trk"), (F.col("value") % 1).alias("sim"))
     return E.hota(tracks.groupBy("seq", "t", "gt", "trk").agg(F.max("sim").alias("sim")), ["seq"])
 

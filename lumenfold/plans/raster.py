@@ -79,11 +79,11 @@ def p10(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "p11_hole_patch",
-    """WITH p AS (SELECT o_custkey % 30 AS x, o_orderkey % 30 AS y, min(o_totalprice) AS d FROM orders WHERE o_orderkey % 11 = 0 GROUP BY 1, 2)
+    """WITH p AS (SELECT o_custkey % 30 AS x, o_orderkey % 30 AS y, min(o_totalprice) AS d FROM orders GROUP BY 1, 2)
     SELECT x + dx AS x, y + dy AS y, min(d) AS d FROM p, (SELECT unnest([-1, 0, 1]) AS dx), (SELECT unnest([-1, 0, 1]) AS dy) GROUP BY 1, 2""",
 )
 def p11(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "orders", "o_orderkey", "o_custkey", "o_totalprice").where("o_orderkey % 11 = 0")
+    rows = table(spark, d, "orders", "o_orderkey", "o_custkey", "o_totalprice")
     rows = rows.groupBy((F.col("o_custkey") % 30).alias("x"), (F.col("o_orderkey") % 30).alias("y")).agg(F.min("o_totalprice").alias("d"))
     return G.dilate_min(rows, [], "x", "y", "d", 1)
 
@@ -231,11 +231,11 @@ def u5(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "u6_tile_split",
-    """WITH s AS (SELECT o_orderkey, (o_orderkey % 900 + 50)::BIGINT AS full_size FROM orders WHERE o_orderkey % 10 = 0), t AS (SELECT o_orderkey, unnest(list_distinct(list_append(range(0, greatest(full_size - 256, 0) + 1, 192), greatest(full_size - 256, 0)))) AS start FROM s)
+    """WITH s AS (SELECT o_orderkey, (o_orderkey % 900 + 50)::BIGINT AS full_size FROM orders), t AS (SELECT o_orderkey, unnest(list_distinct(list_append(range(0, greatest(full_size - 256, 0) + 1, 192), greatest(full_size - 256, 0)))) AS start FROM s)
     SELECT o_orderkey, start FROM t""",
 )
 def u6(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "orders", "o_orderkey").where("o_orderkey % 10 = 0").withColumn("full", F.col("o_orderkey") % 900 + 50)
+    rows = table(spark, d, "orders", "o_orderkey").withColumn("full", F.col("o_orderkey") % 900 + 50)
     return rows.select("o_orderkey", F.explode(G.tile_starts(F.col("full"), 256, 192)).alias("start"))
 
 

@@ -44,15 +44,15 @@ def t2(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "t3_recently_occluded",
-    """WITH s AS (SELECT DISTINCT l_suppkey AS g, l_partkey AS i FROM lineitem WHERE l_partkey % 5 = 0), n AS (SELECT g, count(*) AS n FROM s GROUP BY 1), p AS (SELECT x.g AS a, y.g AS b, count(*) AS c FROM s x JOIN s y ON x.i = y.i AND x.g < y.g GROUP BY 1, 2),
-    o AS (SELECT a, b, a % 6 - 1 AS la, b % 6 - 1 AS lb FROM p JOIN n n1 ON a = n1.g JOIN n n2 ON b = n2.g WHERE c / (n1.n + n2.n - c)::DOUBLE >= 0.2)
+    """WITH s AS (SELECT DISTINCT l_suppkey AS g, l_partkey AS i FROM lineitem), n AS (SELECT g, count(*) AS n FROM s GROUP BY 1), p AS (SELECT x.g AS a, y.g AS b, count(*) AS c FROM s x JOIN s y ON x.i = y.i AND x.g < y.g GROUP BY 1, 2),
+    o AS (SELECT a, b, a % 6 - 1 AS la, b % 6 - 1 AS lb FROM p JOIN n n1 ON a = n1.g JOIN n n2 ON b = n2.g WHERE c / (n1.n + n2.n - c)::DOUBLE >= 0.17)
     SELECT DISTINCT CASE WHEN la > lb AND lb > -1 THEN a ELSE b END AS suppressed FROM o WHERE (la > lb AND lb > -1) OR (lb > la AND la > -1)""",
 )
 def t3(spark: SparkSession, d: str) -> DataFrame:
     """Of two overlapping objects the one occluded last goes, if the other was ever occluded."""
     from lumenfold.operators import spatial as S
 
-    pairs = S.set_overlaps(table(spark, d, "lineitem", "l_suppkey", "l_partkey").where("l_partkey % 5 = 0"), "l_suppkey", "l_partkey").where(S.iou() >= 0.2)
+    pairs = S.set_overlaps(table(spark, d, "lineitem", "l_suppkey", "l_partkey"), "l_suppkey", "l_partkey").where(S.iou() >= 0.17)
     la, lb = F.col("a") % 6 - 1, F.col("b") % 6 - 1
     gone = F.when((la > lb) & (lb > -1), F.col("a")).when((lb > la) & (la > -1), F.col("b"))
     return pairs.select(gone.alias("suppressed")).where("suppressed IS NOT NULL").distinct()

@@ -141,9 +141,9 @@ def u2(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select(F.col("o_custkey").alias("k")).intersect(table(spark, d, "customer").where("c_acctbal > 5000").select("c_custkey"))
 
 
-@query("u3_except", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("u3_except", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'")
 def u3(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "customer").select(F.col("c_custkey").alias("k")).subtract(table(spark, d, "orders").select("o_custkey"))
+    return table(spark, d, "customer").select(F.col("c_custkey").alias("k")).subtract(table(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select("o_custkey"))
 
 
 @query(
