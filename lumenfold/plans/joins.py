@@ -212,10 +212,10 @@ def j21(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity").select("l_orderkey", "l_linenumber", label.otherwise("ground").alias("label"))
 
 
-@query("j22_attach_labels", "SELECT vec_id, i - 1 AS position, round(embedding[i]::DOUBLE, 5) AS value FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)")
+@query("j22_attach_labels", "SELECT vec_id, i - 1 AS position, embedding[i]::DOUBLE AS value FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)")
 def j22(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "embeddings", "vec_id", "embedding").select("vec_id", F.posexplode("embedding").alias("position", "_v"))
-    return rows.select("vec_id", F.col("position").cast("long").alias("position"), F.round(F.col("_v").cast("double"), 5).alias("value"))
+    return rows.select("vec_id", F.col("position").cast("long").alias("position"), F.col("_v").cast("double").alias("value"))
 
 
 @query(
