@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lumenfold.llm import order_minhash
 from lumenfold.llm.alignment import edit_distance
 from lumenfold.llm.line_templates import dedup_lines
-from lumenfold.llm.order_minhash import common_words_of, near_duplicates, without_near_duplicates
+from lumenfold.llm.order_minhash import common_of, near_duplicates, without_near_duplicates
 from lumenfold.llm.substring_dedup import substring_dedup
 from lumenfold.llm.suffix_dedup import intervals, maximal_repeats, suffix_dedup
 
@@ -279,11 +279,11 @@ def test_recall_of_planted_pairs(spark, evenly):
     assert len(set(got.values())) >= 600
 
 
-def test_common_words_of():
+def test_common_of():
     rng = np.random.default_rng(3)
     left, right = ([np.unique(rng.integers(0, 9000, rng.integers(0, 6000))).astype(np.uint32) for _ in range(k)] for k in (5, 7))
-    assert (common_words_of(left, right) == [[len(np.intersect1d(a, b)) for b in right] for a in left]).all()
-    assert common_words_of([], []).shape == (0, 0)
+    assert (common_of(left, right) == [[len(np.intersect1d(a, b)) for b in right] for a in left]).all()
+    assert common_of([], []).shape == (0, 0)
 
 
 @pytest.mark.parametrize("block", [8, 256])
@@ -302,6 +302,24 @@ def test_near_duplicates_in_blocks(spark, block, monkeypatch):
     assert {r.doc_id: r.class_id for r in near_duplicates(frame(spark, rows)).collect()} == want
 
 
+def test_pairs_leave_blocks_under_one_key(spark, monkeypatch):
+    """Nodes share many keys; every pair across classes comes out, and once."""
+    monkeypatch.setattr(order_minhash, "BLOCK", 8)
+    rng = random.Random(24)
+    held = {node: rng.sample(range(-6, 6), rng.randrange(1, 9)) for node in range(70)}
+    kind = {node: node % 40 for node in held}
+    rows = []
+    for key in range(-6, 6):
+        inside = [node for node, keys in held.items() if key in keys]
+        sizes = Counter(kind[node] for node in inside)
+        main = max(sizes, key=lambda c: (sizes[c], c))
+        rows += [(key, node, kind[node], 100, main, len(inside) - sizes[main], len(inside)) for node in inside]
+    hot = spark.createDataFrame(rows, "_key long, _node long, _class long, _n int, _main long, _rest long, _all long")
+    words = spark.createDataFrame([(n, bytes(np.arange(100, dtype=np.uint32)), k) for n, k in held.items()], "_node long, _words binary, _all_keys array<long>")
+    got = [tuple(r) for r in order_minhash._in_blocks(hot, words, 0.8).collect()]
+    assert sorted(got) == [(a, b) for a in held for b in range(a) if kind[a] != kind[b] and set(held[a]) & set(held[b])]
+
+
 @pytest.mark.parametrize("operator", [substring_dedup, suffix_dedup, near_duplicates, dedup_lines])
 def test_ids_that_are_no_numbers_are_refused(spark, operator):
     with pytest.raises(TypeError):
