@@ -166,8 +166,8 @@ def _pieces(path: str, capacity: int, closing: int, with_ids: bool) -> Callable[
                         crc.append(zlib.crc32(part.tobytes()))
                         if with_ids:
                             ids.append(part.astype(np.int32))
-                part = batch.take(pa.array(rows, pa.int64()))
-                columns = [part.column(c) for c in ("_id", "_ord", "_tkey")]
+                part = batch.select(["_id", "_ord", "_tkey"]).take(pa.array(rows, pa.int64()))
+                columns = list(part.columns)
                 columns += [pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
                 names = ["_id", "_ord", "_tkey", "piece", "start", "length", "ids_crc32"]
                 if with_ids:
