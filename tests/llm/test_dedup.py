@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -14,6 +15,7 @@ from lumenfold.llm import order_minhash
 from lumenfold.llm.alignment import edit_distance
 from lumenfold.llm.line_templates import dedup_lines
 from lumenfold.llm.order_minhash import common_of, near_duplicates, without_near_duplicates
+from lumenfold.llm.store import AT_END, Cuts
 from lumenfold.llm.substring_dedup import substring_dedup
 from lumenfold.llm.suffix_dedup import intervals, maximal_repeats, suffix_dedup
 
@@ -302,6 +304,20 @@ def test_near_duplicates_in_blocks(spark, block, monkeypatch):
     assert {r.doc_id: r.class_id for r in near_duplicates(frame(spark, rows)).collect()} == want
 
 
+def test_no_shuffle_files_stay_behind_a_table(spark):
+    files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    before = files()
+    cuts = Cuts(spark, "test")
+    found = spark.conf.get(AT_END)
+    table = cuts.put("counts", spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    until = time.monotonic() + 5
+    while files() - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not files() - before
+    assert spark.conf.get(AT_END) == found and table.count() == 7
+    cuts.drop("counts")
+
+
 def test_pairs_leave_blocks_under_one_key(spark, monkeypatch):
     """Nodes share many keys; every pair across classes comes out, and once."""
     monkeypatch.setattr(order_minhash, "BLOCK", 8)
