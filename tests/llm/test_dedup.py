@@ -304,6 +304,41 @@ def test_near_duplicates_in_blocks(spark, block, monkeypatch):
     assert {r.doc_id: r.class_id for r in near_duplicates(frame(spark, rows)).collect()} == want
 
 
+def test_near_duplicates_by_slices_of_keys(spark, monkeypatch):
+    """Keys that are many for the number of texts are worked on slice by slice, with the same classes."""
+    seen = {"_mixed": [], "_paired": []}
+    for name, at in (("_mixed", 2), ("_paired", 0)):
+
+        def spied(*args, name=name, at=at, run=getattr(order_minhash, name)):
+            seen[name].append(args[at].count())
+            return run(*args)
+
+        monkeypatch.setattr(order_minhash, name, spied)
+    rng = random.Random(25)
+    passage, rows, want = [f"p{k}" for k in range(78)], [], {}
+    for d in range(60):
+        own = [f"u{d}x{k}" for k in range(22)]
+        rows += [(d, " ".join(passage + own)), (1000 + d, " ".join(changed(passage + own, 0.18, rng, f"e{d}x", 78 if d % 2 else 0)))]
+        want |= {d: d, 1000 + d: d}
+    for value, name in ((200, "PLAIN_ROWS"), (2, "BINNED_ROWS"), (-110, "SPARE")):
+        monkeypatch.setattr(order_minhash, name, value)
+    assert {r.doc_id: r.class_id for r in near_duplicates(frame(spark, rows)).collect()} == want
+    assert all(len(counts) > 3 for counts in seen.values()), seen
+    assert max(seen["_mixed"]) < 2 * 200 * 10 and max(seen["_paired"]) < 2 * 2 * 10, seen
+
+
+def test_blocks_by_slices_of_keys(spark):
+    rows = [(key, node, node % 30, 100, 0, 40, 50) for key in range(12) for node in range(key, key + 50)]
+    hot = spark.createDataFrame(rows, "_key long, _node long, _class long, _n int, _main long, _rest long, _all long")
+    held = [(n, bytes(np.arange(100, dtype=np.uint32)), [k for k in range(12) if k <= n < k + 50]) for n in range(61)]
+    words = spark.createDataFrame(held, "_node long, _words binary, _all_keys array<long>")
+    slices, cuts = order_minhash._slices(hot, 600, 300 - order_minhash.SPARE, 0.5), Cuts(spark, "test")
+    assert len(slices) == 5
+    got = [tuple(r) for r in order_minhash._each(cuts, "blocks", slices, lambda part: order_minhash._in_blocks(part, words, 0.8)).collect()]
+    assert sorted(got) == [(a, b) for a in range(61) for b in range(a) if a % 30 != b % 30 and a - b < 50]
+    cuts.drop(*list(cuts.paths))
+
+
 def test_no_shuffle_files_stay_behind_a_table(spark):
     files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
     before = files()
