@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import itertools
 import random
+from collections import Counter
+from unittest import mock
 
 import numpy as np
 import pandas as pd
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 from lumenfold.functions import answers as A
 from lumenfold.functions.assignment import assign
 from lumenfold.operators import evaluation as E
+from lumenfold.operators import repetition as R
 from lumenfold.operators import spatial as S
 from lumenfold.operators import votes as V
 
@@ -90,3 +93,22 @@ def test_groups_that_cross_arrow_batches(spark):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     assert got == {k: (sum(k * 10 + j for j in range(k)), k) for k in range(1, 7)}
+
+
+def test_repeated_windows_make_no_rows(spark):
+    """Texts of their own id are counted in place; shared and null ids over all of their texts, long ones by aggregation."""
+    rng = random.Random(4)
+    rows = [(k, "".join(rng.choice("ab ü") for _ in range(rng.randrange(0, 60)))) for k in (*range(40), *range(30, 40), *[None] * 3, *[90] * 5)] + [(50, None), (51, "\U0001f600" * 13)]
+    counts = {}
+    for k, text in rows:
+        for i in range(len(text or "") - 3):
+            counts.setdefault(k, Counter())[text[i : i + 4]] += 1
+    want = {k: max(c.values()) for k, c in counts.items()}
+    for most in (R.GATHERED, 130):
+        with mock.patch.object(R, "GATHERED", most):
+            assert dict(map(tuple, R.most_repeated(spark.createDataFrame(rows, "id long, text string"), "id", "text", 4).collect())) == want
+    once = R.most_repeated(spark.createDataFrame(rows[:30], "id long, text string"), "id", "text", 4)
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+    for width in (1, 3, 10):
+        texts = ["".join(rng.choice(["abcabc", "".join(map(chr, range(0x4E00, 0x9000)))]) for _ in range(3)) for _ in range(2)]
+        assert R.most_frequent(texts, width) == max(Counter(t[i : i + width] for t in texts for i in range(len(t) - width + 1)).values())
