@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: Places of a grid cell, on average over places, up to which ``nearest`` needs no finer one.
+CELL = 8
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` with its lineage cut in the folder of spark.checkpoint.dir, which executors share."""
     spark: SparkSession = df.sparkSession
@@ -42,10 +48,28 @@ def within_radius(left: DataFrame, right: DataFrame, axes: list[str], radius: fl
 
 
 def nearest(left: DataFrame, right: DataFrame, axes: list[str], ident: str, right_ident: str, bound: float) -> DataFrame:
-    """(ident, right_ident, dist2): the nearest right row within ``bound``, lowest id on ties."""
-    pairs = within_radius(left, right, axes, bound)
-    best = pairs.groupBy(ident).agg(F.min(F.struct("dist2", F.col(f"r_{right_ident}"))).alias("_b"))
-    return best.select(ident, F.col(f"_b.r_{right_ident}").alias(right_ident), F.col("_b.dist2").alias("dist2"))
+    """(ident, right_ident, dist2): the nearest right row within ``bound``, lowest id on ties.
+
+    Rows at the same place are one.  Where places are dense the reach starts at a fraction of ``bound``, so that a cell
+    holds a few of them, and doubles for the places that have found none.
+    """
+    places = checkpointed(left.select(*axes).distinct())
+    sites = checkpointed(right.groupBy(*axes).agg(F.min(right_ident).alias(right_ident)))
+    filled = sites.groupBy(*(F.floor(F.col(a) / bound) for a in axes)).agg(F.count(F.lit(1)).alias("n"))
+    crowd = filled.agg(F.sum(F.col("n") * F.col("n")) / F.sum("n")).first()[0] or 0
+    halvings = max(0, math.ceil(math.log2(max(crowd, 1) / CELL) / len(axes)))
+    found = []
+    for k in range(halvings, -1, -1):
+        reach = bound / 2**k
+        best = within_radius(places, sites, axes, reach).groupBy(*axes).agg(F.min(F.struct("dist2", F.col(f"r_{right_ident}").alias("who"))).alias("_b"))
+        if k:  # a rounded cell may hide what lies just at the reach
+            best = best.where(F.col("_b.dist2") < reach * reach * (1 - 1e-9))
+        best = checkpointed(best)
+        found.append(best)
+        if k:
+            places = checkpointed(places.join(best, axes, "left_anti"))
+    rows = left.select(ident, *axes).join(reduce(DataFrame.unionByName, found), axes)
+    return rows.groupBy(ident).agg(F.min("_b").alias("_b")).select(ident, F.col("_b.who").alias(right_ident), F.col("_b.dist2").alias("dist2"))
 
 
 def set_overlaps(members: DataFrame, group: str, item: str) -> DataFrame:

@@ -112,3 +112,29 @@ def test_repeated_windows_make_no_rows(spark):
     for width in (1, 3, 10):
         texts = ["".join(rng.choice(["abcabc", "".join(map(chr, range(0x4E00, 0x9000)))]) for _ in range(3)) for _ in range(2)]
         assert R.most_frequent(texts, width) == max(Counter(t[i : i + width] for t in texts for i in range(len(t) - width + 1)).values())
+
+
+def test_nearest_where_places_are_dense(spark):
+    """As many pairs as places, not as their square; ties, places of several rows and far points are as by brute force."""
+    rng = random.Random(6)
+    spots = [(rng.randrange(400) / 20, float(rng.randrange(12))) for _ in range(900)]
+    left = [(k, *rng.choice(spots)) if k % 2 else (k, rng.randrange(-100, 500) / 20, rng.randrange(120) / 10) for k in range(600)] + [(7, 1.0, 1.0), (900, None, 2.0), (901, 500.0, 500.0)]
+    right = [(k, *s) for k, s in enumerate(spots)] + [(1000 + k, *s) for k, s in enumerate(spots)] + [(3000, 30.0, 3.0), (3001, None, 1.0)]
+    want = {}
+    for k, x, y in left:
+        near = [((x - a) ** 2 + (y - b) ** 2, m) for m, a, b in right if None not in (x, a)]
+        if near and min(near)[0] <= 25.0:
+            want[k] = min(want.get(k, min(near)), min(near))
+    made = []
+    plain = S.within_radius
+
+    def counted(*args):
+        pairs = plain(*args)
+        made.append(pairs.count())
+        return pairs
+
+    frames = spark.createDataFrame(left, "id long, x double, y double"), spark.createDataFrame(right, "other long, x double, y double")
+    with mock.patch.object(S, "within_radius", counted):
+        got = {r.id: (r.dist2, r.other) for r in S.nearest(*frames, ["x", "y"], "id", "other", 5.0).collect()}
+    assert got == want
+    assert len(made) > 1 and sum(made) < 20 * len(left), made
